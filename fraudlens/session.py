@@ -21,6 +21,7 @@ def build_session(app: str = "fraudlens", master: str | None = None, **conf: str
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
         "spark.ui.enabled": "false",
+        "spark.sql.streaming.stateStore.providerClass": ROCKSDB_PROVIDER,
         **conf,
     }
     builder = SparkSession.builder.appName(app)
