@@ -9,12 +9,11 @@ from pyspark.sql import functions as F
 
 from fraudlens.functions.columns import class_name, count_if, flag
 from fraudlens.operators.evaluate import confusion_aggregates, with_prf
-from fraudlens.operators.ordering import first_rows, newest_per_group, running_totals
+from fraudlens.operators.ordering import first_rows, last_rows, running_totals
 from fraudlens.schemas import COORDINATES, COUNTRIES, DEFAULT_THRESHOLD
 
 KEPT_CARD_ALERTS = 5000
 KEPT_RUN_ALERTS = 2000
-KEPT_RUN_STATS = 5000
 
 
 # -- from scores to alerts -------------------------------------------------------------------
@@ -167,13 +166,10 @@ def latest_alerts(alerts: DataFrame, k: int = 15) -> DataFrame:
 
 
 def retained_alerts(
-    alerts: DataFrame, n: int = KEPT_CARD_ALERTS, by: Sequence[str] = (), key="transaction_id"
+    alerts: DataFrame, n: int = KEPT_CARD_ALERTS, key: str = "transaction_id"
 ) -> DataFrame:
-    """The newest ``n`` alerts, overall or per group."""
-    order = [F.desc("event_time"), F.desc(key)]
-    if not by:
-        return first_rows(alerts, order, n)
-    return newest_per_group(alerts, by, order, n, spread=key)
+    """The newest ``n`` alerts."""
+    return last_rows(alerts, F.unix_micros("event_time"), ["event_time", key], n)
 
 
 def with_class_names(alerts: DataFrame) -> DataFrame:

@@ -220,24 +220,16 @@ def label_positions(
     )
 
 
-def newest_per_group(
-    df: DataFrame, by: Sequence[str], order: Sequence[Column], n: int, spread: str, salts: int = 64
-) -> DataFrame:
-    """The first ``n`` rows of every group in the given order.
+def last_rows(df: DataFrame, primary: Column, keys: Sequence[str], n: int) -> DataFrame:
+    """The last ``n`` rows of the order, unsorted.
 
-    Groups are first cut down inside ``salts`` hash buckets of the ``spread`` column, so a group of
-    any size reaches its final ranking with at most ``n * salts`` rows.
+    The place of the first row kept is turned into its key, so this is a filter: nothing is
+    shuffled however large ``n`` is.
     """
-    salted = df.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(salts)))
-    near = Window.partitionBy(*by, "_salt").orderBy(*order)
-    final = Window.partitionBy(*by).orderBy(*order)
-    return (
-        salted.withColumn("_rank", F.row_number().over(near))
-        .filter(F.col("_rank") <= n)
-        .withColumn("_rank", F.row_number().over(final))
-        .filter(F.col("_rank") <= n)
-        .drop("_salt", "_rank")
-    )
+    surplus = df.count() - n
+    if surplus <= 0:
+        return df
+    return df.filter(~_key_before(keys, key_at(df, primary, keys, surplus)))
 
 
 def first_rows(df: DataFrame, order: Sequence[str | Column], k: int) -> DataFrame:

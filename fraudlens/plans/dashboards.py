@@ -203,13 +203,14 @@ def alert_retention(spark, sf):
 
 @query(
     "run_retention",
-    """SELECT run_id, transaction_id, event_time FROM tx WHERE score >= 0.5
-    QUALIFY row_number() OVER (PARTITION BY run_id ORDER BY event_time DESC, transaction_id DESC) <= 2000""",
+    """SELECT run_id, transaction_id, event_time FROM tx
+    WHERE score >= 0.5 AND run_id = (SELECT max(run_id) FROM tx WHERE score >= 0.5)
+    ORDER BY event_time DESC, transaction_id DESC LIMIT 2000""",
     views=("tx",),
 )
 def run_retention(spark, sf):
     rows = al.flagged(views.card_tx(spark, sf)).select("run_id", "transaction_id", "event_time")
-    return al.retained_alerts(rows, al.KEPT_RUN_ALERTS, by=["run_id"])
+    return al.retained_alerts(al.newest_run(rows), al.KEPT_RUN_ALERTS)
 
 
 @query(

@@ -13,11 +13,15 @@ TOPIC = "transactions"
 WIDE_TOPIC = "transactions_real"
 TEST_MERCHANTS = ["click", "error", "purchase", "signup", "view"]
 ALERT_SCORE = 0.8
+EVENTS = (
+    "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
+)
+EMBEDDINGS = "vec_id bigint, embedding array<float>, label int"
 
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    events = spark.read.schema(EVENTS).parquet(f"{sf_dir}/events.parquet")
     return events.withColumns(
         {
             "event_time": F.col("ts").cast("timestamp"),
@@ -122,7 +126,7 @@ def card_topic(spark: SparkSession, sf_dir: str, offsets: bool = True) -> DataFr
 def wide_tx(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Anonymised numeric transactions; the row id is their order."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    vectors = spark.read.schema(EMBEDDINGS).parquet(f"{sf_dir}/embeddings.parquet")
 
     def value(i: int) -> Column:
         return F.col("embedding")[i - 1].cast("double")
