@@ -132,9 +132,16 @@ def histogram(
 def label_correlation(
     df: DataFrame, features: Sequence[str], label: str = "is_fraud", k: int = 15, digits: int = 6
 ) -> DataFrame:
-    """Features by absolute correlation with the label, all from one aggregate."""
+    """Features by absolute correlation with the label, all from one aggregate.
+
+    The root of the explained share is the absolute correlation and, unlike ``corr``, does not
+    fail on a constant column; those come last.
+    """
     y = F.col(label).cast("double")
-    cells = df.agg(*[F.abs(F.corr(F.col(f).cast("double"), y)).alias(f) for f in features])
+    varies = F.min(y) < F.max(y)
+    cells = df.agg(
+        *[F.when(varies, F.sqrt(F.regr_r2(y, F.col(f).cast("double")))).alias(f) for f in features]
+    )
     rows = cells.unpivot([], list(features), "feature", "abs_corr")
     rows = rows.withColumn("abs_corr", F.round(F.nanvl("abs_corr", F.lit(None)), digits))
     return rows.orderBy(F.desc_nulls_last("abs_corr"), "feature").limit(k)
