@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 from fraudlens.operators import features, ordering, quality, silver
 from fraudlens.plans.registry import query
-from fraudlens.schemas import CARD_TX, WIDE_FEATURES
+from fraudlens.schemas import CARD_TX, WIDE_FEATURES, WIDE_TX
 from fraudlens.session import new_path
-from fraudlens.sources import tables, views
+from fraudlens.sources import replay, tables, views
 
 TX_KEYS = ["event_time", "transaction_id"]
 
@@ -258,6 +258,21 @@ def csv_roundtrip(spark, sf):
     return tables.read_csv(spark, path, rows.schema)
 
 
+@query(
+    "replay_rows",
+    f"""SELECT row_id, {", ".join(WIDE_FEATURES)}, is_fraud FROM wide
+    WHERE row_id >= (SELECT CAST(floor(count(*) * 0.8e0) AS BIGINT) FROM wide)""",
+    views=("wide",),
+)
+def replay_file(spark, sf):
+    """The test rows of the raw CSV, sent as messages and decoded again."""
+    path = new_path(spark, "csv")
+    wide = views.wide_tx(spark, sf)
+    tables.write_csv(views.raw_csv_rows(wide.orderBy("row_id")), path, label="Class")
+    messages = replay.replay_messages(spark, path, start=int(wide.count() * 0.8))
+    return silver.decode(messages, WIDE_TX).drop("event_time")
+
+
 # -- order -----------------------------------------------------------------------------------
 
 

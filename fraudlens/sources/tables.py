@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from fraudlens.operators.ordering import with_row_index
+
 _VERSION = "version="
 
 
@@ -74,6 +76,20 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     return spark.read.csv(path, schema=schema, header=True, mode="FAILFAST")
 
 
+def number_rows(df: DataFrame, name: str = "row_id") -> DataFrame:
+    """Rows of a file scan with their 0-based position, files by path and rows by place.
+
+    A file may be read in several splits, so the place is the split's start and the row in it.
+    """
+    place = {
+        "_file": F.col("_metadata.file_path"),
+        "_split": F.col("_metadata.file_block_start"),
+    }
+    columns = df.columns
+    placed = df.withColumns(place).withColumn("_row", F.monotonically_increasing_id())
+    return with_row_index(placed, list(place) + ["_row"], name).select(name, *columns)
+
+
 def write_csv(df: DataFrame, path: str, label: str | None = None) -> None:
     """A headered CSV without index; the label is written as an integer."""
     if label:

@@ -79,3 +79,18 @@ def test_shared_folder_is_the_one_the_cluster_names():
 def test_cluster_without_a_shared_folder_is_refused():
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         shared_dir(_Session("spark://host:7077"))
+
+
+def test_rows_of_a_file_are_numbered_in_file_order(spark, tmp_path):
+    for part, low in (("b", 3000), ("a", 0)):
+        lines = "".join(f"{i}\n" for i in range(low, low + 3000))
+        (tmp_path / f"{part}.csv").write_text("v\n" + lines)
+    size = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2000")
+    try:
+        rows = tables.read_csv(spark, str(tmp_path), "v int")
+        assert rows.rdd.getNumPartitions() > 4
+        numbered = tables.number_rows(rows)
+        assert numbered.filter("row_id = v").count() == 6000
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
