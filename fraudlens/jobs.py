@@ -21,7 +21,7 @@ from fraudlens.schemas import (
     REPORT_THRESHOLDS,
     WIDE_FEATURES,
 )
-from fraudlens.session import build_session, stage
+from fraudlens.session import build_session, drop_staged, stage
 from fraudlens.sources import replay, runs, tables, topics
 from fraudlens.streaming import layers, scoring
 
@@ -149,15 +149,15 @@ def check_csv(spark, a):
     rows = stage(replay.replay_rows(spark, getattr(a, "in")).drop("event_time"), "csv")
     _show("first rows", ordering.first_rows(rows.select("row_id", "V1", "V2", "Amount"), ["row_id"], 5))
     _show("amounts", explore.describe(rows, label=None))
-    _show("frauds", ordering.label_positions(rows, F.col("row_id"), ["row_id"], "is_fraud"))
+    _show("frauds", ordering.label_positions(rows, ["row_id"], "is_fraud"))
 
 
 # -- models ----------------------------------------------------------------------------------
 
 
-def _train(spark, a, rows, primary, keys, fit, params, experiment) -> None:
+def _train(spark, a, rows, keys, fit, params, experiment) -> None:
     cuts = [(0.8, "train"), (1.0, "test")]
-    split = ordering.chronological_split(rows, primary, keys, cuts)
+    split = ordering.chronological_split(rows, keys, cuts)
     _show("split", evaluate.class_balance(split))
     model = fit(split.filter("split = 'train'"))
     runs.save_model(model, a.model)
@@ -171,7 +171,7 @@ def _train(spark, a, rows, primary, keys, fit, params, experiment) -> None:
 def train_card(spark, a):
     rows = tables.read_current(spark, getattr(a, "in"), a.format)
     _train(
-        spark, a, rows, F.unix_micros("event_time"), ["event_time", "transaction_id"],
+        spark, a, rows, ["event_time", "transaction_id"],
         models.train_card, models.CARD_PARAMS, "fraud-detection",
     )
 
@@ -180,7 +180,7 @@ def train_card(spark, a):
 def train_wide(spark, a):
     rows = tables.read_current(spark, getattr(a, "in"), a.format)
     _train(
-        spark, a, rows, F.col("row_id"), ["row_id"],
+        spark, a, rows, ["row_id"],
         models.train_wide, models.WIDE_PARAMS, "fraud-detection-real",
     )
 
@@ -189,7 +189,7 @@ def train_wide(spark, a):
 def cost_threshold(spark, a):
     rows = tables.read_current(spark, getattr(a, "in"), a.format)
     report = models.cost_threshold_run(
-        rows, F.col("row_id"), ["row_id"], models.train_wide, alert_cost=a.alert_cost
+        rows, ["row_id"], models.train_wide, alert_cost=a.alert_cost
     )
     _show("strategies", report)
 
@@ -257,7 +257,12 @@ def main(arguments: list[str] | None = None, spark: SparkSession | None = None)
         for option in options:
             command.add_argument(f"--{option}", **OPTIONS[option])
     a = parser.parse_args(arguments)
-    JOBS[a.job][0](spark or build_session(f"fraudlens-{a.job}"), a)
+    session = spark or build_session(f"fraudlens-{a.job}")
+    try:
+        JOBS[a.job][0](session, a)
+    finally:
+        if spark is None:
+            drop_staged(session)
 
 
 if __name__ == "__main__":

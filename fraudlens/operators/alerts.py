@@ -14,6 +14,7 @@ from fraudlens.schemas import COORDINATES, COUNTRIES, DEFAULT_THRESHOLD
 
 KEPT_CARD_ALERTS = 5000
 KEPT_RUN_ALERTS = 2000
+KEPT_RUN_STATS = 5000
 
 
 # -- from scores to alerts -------------------------------------------------------------------
@@ -110,7 +111,11 @@ def flow_matrix(alerts: DataFrame, countries: Sequence[str] = tuple(COUNTRIES))
 
 
 def coordinates(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(COORDINATES, "code string, lon double, lat double")
+    rows = [
+        F.struct(F.lit(code).alias("code"), F.lit(lon).alias("lon"), F.lit(lat).alias("lat"))
+        for code, lon, lat in COORDINATES
+    ]
+    return spark.range(1).select(F.inline(F.array(*rows)))
 
 
 def foreign_flows(alerts: DataFrame) -> DataFrame:
@@ -169,7 +174,12 @@ def retained_alerts(
     alerts: DataFrame, n: int = KEPT_CARD_ALERTS, key: str = "transaction_id"
 ) -> DataFrame:
     """The newest ``n`` alerts."""
-    return last_rows(alerts, F.unix_micros("event_time"), ["event_time", key], n)
+    return last_rows(alerts, ["event_time", key], n)
+
+
+def retained_statistics(stats: DataFrame, n: int = KEPT_RUN_STATS) -> DataFrame:
+    """The last ``n`` statistics messages of a run."""
+    return last_rows(stats, ["processed"], n)
 
 
 def with_class_names(alerts: DataFrame) -> DataFrame:

@@ -8,7 +8,6 @@ buckets are summed from the top.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
@@ -107,7 +106,11 @@ def precision_recall_curve(
         F.round("precision", digits).alias("precision"),
         F.round("recall", digits).alias("recall"),
     )
-    end = df.sparkSession.createDataFrame([(None, 1.0, 0.0)], curve.schema)
+    end = df.sparkSession.range(1).select(
+        F.lit(None).cast("double").alias("threshold"),
+        F.lit(1.0).alias("precision"),
+        F.lit(0.0).alias("recall"),
+    )
     return curve.unionByName(end)
 
 
@@ -288,6 +291,3 @@ def metrics_row(
     area = average_precision(df, label, score).scalar().alias("pr_auc")
     return with_prf(confusion(df, label, score, threshold)).select("*", area)
 
-
-def union_all(frames: Sequence[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, frames)

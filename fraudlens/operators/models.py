@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from datetime import datetime, timezone
 
 from pyspark.ml import Pipeline, PipelineModel, Transformer
@@ -142,16 +142,15 @@ def evaluate_and_log(
 
 def cost_threshold_run(
     df: DataFrame,
-    primary,
     keys: Sequence[str],
-    fit,
+    fit: Callable[[DataFrame], PipelineModel],
     amount: str = "Amount",
     alert_cost: float = DEFAULT_ALERT_COST,
     step: float = 0.02,
 ) -> DataFrame:
     """Train on 60 %, choose the cheapest threshold on 20 %, report on the last 20 % (M3)."""
     cuts = [(0.6, "train"), (0.8, "validation"), (1.0, "test")]
-    split = chronological_split(df, primary, keys, cuts)
+    split = chronological_split(df, keys, cuts)
     model = fit(split.filter("split = 'train'").drop("split"))
     scored = score(split, model)
     curve = evaluate.cost_curve(

@@ -6,10 +6,11 @@ with their place in the sort, and only one total per (chunk, group) is carried f
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from fraudlens.session import stage
 
@@ -120,43 +121,70 @@ def _key_before(keys: Sequence[str], bound: Sequence) -> Column:
     return condition
 
 
-def key_at(df: DataFrame, primary: Column, keys: Sequence[str], rank: int) -> tuple | None:
-    """The order key of the row at a 0-based rank, or None beyond the end.
+def _scale(df: DataFrame, key: str) -> tuple[Column, Callable[[int], Column]]:
+    """The key as a bigint of the same order, and the literal of the key for such a bigint."""
+    if isinstance(df.schema[key].dataType, T.TimestampType):
+        return F.unix_micros(key), lambda value: F.timestamp_micros(F.lit(value))
+    return F.col(key).cast("bigint"), F.lit
 
-    ``primary`` is a bigint that orders rows like the first key; later keys break its ties.  The
-    rank is closed in on by histograms of the key column, so no row but a last small bin is sorted.
-    """
-    keyed = df.select(primary.alias("_p"), *keys)
-    low, high, rows = keyed.agg(F.min("_p"), F.max("_p"), F.count("_p")).first()
-    if not 0 <= rank < rows:
-        return None
-    while True:
-        inside = keyed.filter(F.col("_p").between(low, high))
-        if rows <= SMALL_BIN:
-            return tuple(inside.orderBy(*keys).offset(rank).limit(1).select(*keys).first())
-        if low == high:
-            indexed = with_row_index(inside, keys, "_rank")
-            return tuple(indexed.filter(F.col("_rank") == rank).select(*keys).first())
-        width = -(-(high - low + 1) // HISTOGRAM_BINS)
-        bins = (
-            inside.groupBy(F.expr(f"(_p - {low}L) div {width}L").alias("bin"))
-            .count()
-            .orderBy("bin")
-            .collect()  # at most HISTOGRAM_BINS rows
-        )
-        for bin_, rows in bins:
-            if rank < rows:
-                low, high = low + bin_ * width, min(high, low + (bin_ + 1) * width - 1)
-                break
-            rank -= rows
 
+def _extent(df: DataFrame, key: str) -> tuple[int, int, int]:
+    """Smallest and largest key as bigints, and the number of rows."""
+    value, _ = _scale(df, key)
+    return tuple(df.agg(F.min(value), F.max(value), F.count(F.lit(1))).first())
 
-def chronological_split(
+
+def keys_at(
     df: DataFrame,
-    primary: Column,
     keys: Sequence[str],
-    cuts: Sequence[tuple[float, str]],
-    name: str = "split",
+    ranks: Sequence[int],
+    extent: tuple[int, int, int] | None = None,
+) -> list[tuple | None]:
+    """The order keys of the rows at 0-based ranks, None beyond the end.
+
+    The first key is an integer or a timestamp, without NULLs; later keys break its ties.  Ranks
+    are closed in on by histograms of the first key, with filters a file scan can use, so only a
+    last small bin is sorted.
+    """
+    keyed = df.select(*keys)
+    value, literal = _scale(keyed, keys[0])
+    low, high, rows = extent or _extent(keyed, keys[0])
+
+    def within(first: int, last: int) -> DataFrame:
+        return keyed.filter(F.col(keys[0]).between(literal(first), literal(last)))
+
+    def histogram(first: int, last: int) -> tuple[int, list[tuple[int, int]]]:
+        width = -(-(last - first + 1) // HISTOGRAM_BINS)
+        from_first = value - F.lit(first)
+        edge = (from_first - F.pmod(from_first, F.lit(width))).alias("edge")
+        counts = within(first, last).groupBy(edge).count()
+        return width, sorted(map(tuple, counts.collect()))  # at most HISTOGRAM_BINS rows
+
+    shared = histogram(low, high) if rows > SMALL_BIN and low < high else None
+
+    def find(rank: int) -> tuple | None:
+        if not 0 <= rank < rows:
+            return None
+        first, last, inside, bins = low, high, rows, shared
+        while inside > SMALL_BIN and first < last:
+            width, counts = bins or histogram(first, last)
+            bins = None
+            for edge, inside in counts:
+                if rank < inside:
+                    first, last = first + edge, min(last, first + edge + width - 1)
+                    break
+                rank -= inside
+        found = within(first, last)
+        if inside <= SMALL_BIN:
+            return tuple(found.orderBy(*keys).offset(rank).limit(1).first())
+        indexed = with_row_index(found, keys, "_rank")
+        return tuple(indexed.filter(F.col("_rank") == rank).select(*keys).first())
+
+    return [find(rank) for rank in ranks]
+
+
+def chronological_split(
+    df: DataFrame, keys: Sequence[str], cuts: Sequence[tuple[float, str]], name: str = "split"
 ) -> DataFrame:
     """Label rows by their share of the order.
 
@@ -164,48 +192,40 @@ def chronological_split(
     ``int(n * 0.8)`` rows in train.  The cut positions are turned into cut keys, so the rows
     themselves are neither sorted nor shuffled.
     """
-    rows = df.count()
+    extent = _extent(df, keys[0])
+    ranks = [int(extent[2] * share) for share, _ in cuts[:-1]]
     label = F.lit(cuts[-1][1])
-    for share, text in reversed(list(cuts[:-1])):
-        bound = key_at(df, primary, keys, int(rows * share))
+    bounds = keys_at(df, keys, ranks, extent)
+    for bound, (_, text) in reversed(list(zip(bounds, cuts))):
         if bound is not None:
             label = F.when(_key_before(keys, bound), F.lit(text)).otherwise(label)
     return df.withColumn(name, label)
 
 
 def row_slice(
-    df: DataFrame,
-    primary: Column,
-    keys: Sequence[str],
-    start: int = 0,
-    limit: int = 0,
-    name: str = "row_idx",
+    df: DataFrame, keys: Sequence[str], start: int = 0, limit: int = 0, name: str = "row_idx"
 ) -> DataFrame:
     """Rows ``[start, start + limit)`` of the order with their position; limit 0 is all.
 
     Only the slice is sorted.
     """
-    part = df
-    if start:
-        first = key_at(df, primary, keys, start)
-        part = df.filter(~_key_before(keys, first)) if first else df.limit(0)
-    if limit:
-        stop = key_at(df, primary, keys, start + limit)
-        part = part.filter(_key_before(keys, stop)) if stop else part
+    first, stop = keys_at(df, keys, [start, start + limit])
+    part = df if first else df.limit(0)
+    if start and first:
+        part = part.filter(~_key_before(keys, first))
+    if limit and stop:
+        part = part.filter(_key_before(keys, stop))
     return with_row_index(part, keys, name, start)
 
 
-def label_positions(
-    df: DataFrame, primary: Column, keys: Sequence[str], label: str
-) -> DataFrame:
+def label_positions(df: DataFrame, keys: Sequence[str], label: str) -> DataFrame:
     """First and last position of the labelled rows, and their count in each half."""
-    rows = df.count()
+    extent = _extent(df, keys[0])
+    is_marked = F.col(label) == 1
     key = F.struct(*keys)
-    marked = df.filter(F.col(label) == 1)
-    ends = marked.agg(F.min(key).alias("lo"), F.max(key).alias("hi")).first()
-    middle = key_at(df, primary, keys, rows // 2)
+    ends = df.filter(is_marked).agg(F.min(key).alias("low"), F.max(key).alias("high")).first()
+    middle = keys_at(df, keys, [extent[2] // 2], extent)[0]
     in_first = _key_before(keys, middle) if middle else F.lit(False)
-    is_marked = F.col(label) == 1
 
     def position(bound) -> Column:
         if bound is None:
@@ -213,23 +233,24 @@ def label_positions(
         return F.count(F.when(_key_before(keys, bound), F.lit(1)))
 
     return df.agg(
-        position(ends.lo).alias("first_position"),
-        position(ends.hi).alias("last_position"),
+        position(ends.low).alias("first_position"),
+        position(ends.high).alias("last_position"),
         F.count(F.when(is_marked & in_first, F.lit(1))).alias("first_half"),
         F.count(F.when(is_marked & ~in_first, F.lit(1))).alias("second_half"),
     )
 
 
-def last_rows(df: DataFrame, primary: Column, keys: Sequence[str], n: int) -> DataFrame:
+def last_rows(df: DataFrame, keys: Sequence[str], n: int) -> DataFrame:
     """The last ``n`` rows of the order, unsorted.
 
     The place of the first row kept is turned into its key, so this is a filter: nothing is
     shuffled however large ``n`` is.
     """
-    surplus = df.count() - n
+    extent = _extent(df, keys[0])
+    surplus = extent[2] - n
     if surplus <= 0:
         return df
-    return df.filter(~_key_before(keys, key_at(df, primary, keys, surplus)))
+    return df.filter(~_key_before(keys, keys_at(df, keys, [surplus], extent)[0]))
 
 
 def first_rows(df: DataFrame, order: Sequence[str | Column], k: int) -> DataFrame:

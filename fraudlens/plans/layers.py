@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fraudlens.operators import features, ordering, quality, silver
@@ -14,10 +14,6 @@ from fraudlens.sources import replay, tables, views
 TX_KEYS = ["event_time", "transaction_id"]
 
 
-def tx_time() -> Column:
-    return F.unix_micros("event_time")
-
-
 def bronze(spark, sf, offsets: bool = False) -> DataFrame:
     return silver.envelope(views.card_topic(spark, sf, offsets))
 
@@ -287,15 +283,13 @@ TRAIN_VALIDATION_TEST = [(0.6, "train"), (0.8, "validation"), (1.0, "test")]
 
 
 def split_tx(spark, sf, cuts=TRAIN_TEST, name="split") -> DataFrame:
-    return ordering.chronological_split(
-        views.card_tx(spark, sf), tx_time(), TX_KEYS, cuts, name
-    )
+    return ordering.chronological_split(views.card_tx(spark, sf), TX_KEYS, cuts, name)
 
 
 @query("chrono_split", "SELECT transaction_id, split, split3 FROM splits", views=("splits",))
 def chrono_split(spark, sf):
     both = ordering.chronological_split(
-        split_tx(spark, sf), tx_time(), TX_KEYS, TRAIN_VALIDATION_TEST, "split3"
+        split_tx(spark, sf), TX_KEYS, TRAIN_VALIDATION_TEST, "split3"
     )
     return both.select("transaction_id", "split", "split3")
 
@@ -310,7 +304,7 @@ def row_slice(spark, sf):
     """The replay slice: from the start of the test rows, 10,000 rows."""
     tx = views.card_tx(spark, sf).select(*TX_KEYS, "amount")
     start = int(tx.count() * 0.8)
-    rows = ordering.row_slice(tx, tx_time(), TX_KEYS, start, 10_000)
+    rows = ordering.row_slice(tx, TX_KEYS, start, 10_000)
     return rows.select("transaction_id", "amount", "row_idx")
 
 
@@ -334,4 +328,4 @@ def ordered_preview(spark, sf):
     views=("indexed",),
 )
 def fraud_spread(spark, sf):
-    return ordering.label_positions(views.card_tx(spark, sf), tx_time(), TX_KEYS, "is_fraud")
+    return ordering.label_positions(views.card_tx(spark, sf), TX_KEYS, "is_fraud")

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from fraudlens.operators import evaluate, features, models, ordering
 from fraudlens.operators.alerts import to_messages
-from fraudlens.plans.layers import TRAIN_TEST, TX_KEYS, tx_time
+from fraudlens.plans.layers import TRAIN_TEST, TX_KEYS
 from fraudlens.plans.registry import query
 from fraudlens.plans.streams import drained, land_card_topic
 from fraudlens.schemas import ENVELOPE
@@ -19,7 +19,7 @@ TREES = 5
 
 def _gold_split(spark, sf):
     gold = stage(features.card_features(views.card_tx(spark, sf)), "gold")
-    return ordering.chronological_split(gold, tx_time(), TX_KEYS, TRAIN_TEST)
+    return ordering.chronological_split(gold, TX_KEYS, TRAIN_TEST)
 
 
 def _card_model(spark, sf):
@@ -29,7 +29,7 @@ def _card_model(spark, sf):
 
 def _wide_split(spark, sf):
     wide = views.wide_tx(spark, sf)
-    return ordering.chronological_split(wide, F.col("row_id"), ["row_id"], TRAIN_TEST)
+    return ordering.chronological_split(wide, ["row_id"], TRAIN_TEST)
 
 
 @query("train_card")
@@ -66,7 +66,6 @@ def feature_importance(spark, sf):
 def cost_threshold_run(spark, sf):
     return models.cost_threshold_run(
         views.wide_tx(spark, sf),
-        F.col("row_id"),
         ["row_id"],
         fit=lambda train: models.train_wide(train, maxIter=TREES),
     )

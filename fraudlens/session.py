@@ -50,9 +50,19 @@ def shared_dir(spark: SparkSession) -> str:
     return folder
 
 
+def _staging_dir(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/fraudlens/{spark.sparkContext.applicationId}"
+
+
 def new_path(spark: SparkSession, name: str) -> str:
     """A path under the shared folder that nothing else has used."""
-    return f"{shared_dir(spark)}/fraudlens/{name}-{uuid.uuid4().hex}"
+    return f"{_staging_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def drop_staged(spark: SparkSession) -> None:
+    """Delete what this application staged; frames that read it must not be used any more."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_staging_dir(spark))
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:

@@ -3,7 +3,7 @@ from pyspark.ml.classification import LogisticRegression
 from pyspark.sql import functions as F
 
 from fraudlens.operators import features, models
-from fraudlens.plans.layers import TRAIN_TEST, TX_KEYS, tx_time
+from fraudlens.plans.layers import TRAIN_TEST, TX_KEYS
 from fraudlens.operators.ordering import chronological_split
 from fraudlens.session import new_path, stage
 from fraudlens.sources import runs, topics, views
@@ -70,7 +70,7 @@ def test_another_learner_can_be_plugged_in(spark, sf_dir):
 
 
 def test_evaluation_is_logged(spark, gold, card_model):
-    split = chronological_split(gold, tx_time(), TX_KEYS, TRAIN_TEST)
+    split = chronological_split(gold, TX_KEYS, TRAIN_TEST)
     scored = models.score(split.filter("split = 'test'"), card_model)
     path = new_path(spark, "runs")
     row = models.evaluate_and_log(scored, path, "fraud-detection", {"maxIter": 2}).first()

@@ -57,21 +57,23 @@ def test_running_totals_over_everything(data):
 
 
 @pytest.mark.parametrize("small_bin", [10_000, 3])
-def test_key_at_every_kind_of_rank(data, monkeypatch, small_bin):
+def test_keys_at_every_kind_of_rank(data, monkeypatch, small_bin):
     monkeypatch.setattr(ordering, "SMALL_BIN", small_bin)
     monkeypatch.setattr(ordering, "HISTOGRAM_BINS", 16)
     df, rows = data
     ordered = sorted(rows)
     tied = next(i for i, r in enumerate(ordered) if r[0] == 7) + 5
-    for rank in (0, tied, 250, 499):
-        assert ordering.key_at(df, F.col("t"), KEYS, rank) == ordered[rank][:2]
-    assert ordering.key_at(df, F.col("t"), KEYS, 500) is None
+    ranks = [0, tied, 250, 499, 500]
+    assert ordering.keys_at(df, KEYS, ranks) == [
+        *(ordered[rank][:2] for rank in ranks[:-1]),
+        None,
+    ]
 
 
 def test_split_sizes_follow_int_of_share(data):
     df, rows = data
     cuts = [(0.6, "train"), (0.8, "validation"), (1.0, "test")]
-    split = ordering.chronological_split(df, F.col("t"), KEYS, cuts)
+    split = ordering.chronological_split(df, KEYS, cuts)
     found = {r.id: r.split for r in split.collect()}
     for i, r in enumerate(sorted(rows)):
         assert found[r[1]] == ("train" if i < 300 else "validation" if i < 400 else "test")
@@ -80,13 +82,13 @@ def test_split_sizes_follow_int_of_share(data):
 def test_split_of_nothing(spark):
     empty = spark.createDataFrame([], "t bigint, id string")
     cuts = [(0.8, "train"), (1.0, "test")]
-    assert ordering.chronological_split(empty, F.col("t"), KEYS, cuts).count() == 0
+    assert ordering.chronological_split(empty, KEYS, cuts).count() == 0
 
 
 @pytest.mark.parametrize("start, limit", [(0, 0), (0, 10), (480, 100), (490, 0), (500, 5), (3, 1)])
 def test_row_slice(data, start, limit):
     df, rows = data
-    part = ordering.row_slice(df, F.col("t"), KEYS, start, limit)
+    part = ordering.row_slice(df, KEYS, start, limit)
     expected = list(enumerate(sorted(rows)))[start : start + limit if limit else None]
     assert sorted((r.row_idx, r.id) for r in part.collect()) == [(i, r[1]) for i, r in expected]
 
@@ -94,17 +96,17 @@ def test_row_slice(data, start, limit):
 @pytest.mark.parametrize("n", [1, 20, 499, 500, 900])
 def test_last_rows(data, n):
     df, rows = data
-    kept = {r.id for r in ordering.last_rows(df, F.col("t"), KEYS, n).collect()}
+    kept = {r.id for r in ordering.last_rows(df, KEYS, n).collect()}
     assert kept == {r[1] for r in sorted(rows)[-n:]}
 
 
 def test_label_positions(spark):
     rows = [(i, f"{i:03d}", int(i in (4, 20, 61))) for i in range(101)]
     df = spark.createDataFrame(rows, "t bigint, id string, is_fraud int").repartition(3)
-    found = ordering.label_positions(df, F.col("t"), KEYS, "is_fraud").first()
+    found = ordering.label_positions(df, KEYS, "is_fraud").first()
     assert tuple(found) == (4, 61, 2, 1)
     none = df.withColumn("is_fraud", F.lit(0))
-    assert tuple(ordering.label_positions(none, F.col("t"), KEYS, "is_fraud").first()) == (
+    assert tuple(ordering.label_positions(none, KEYS, "is_fraud").first()) == (
         None,
         None,
         0,
