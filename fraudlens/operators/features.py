@@ -11,7 +11,7 @@ from fraudlens.schemas import GOLD_COLUMNS, MERCHANTS
 
 HOUR = 3600
 DAY = 86_400
-HOT_CARD_ROWS = 5_000_000
+HOT_CARD_ROWS = 1_000_000
 
 
 def card_features(tx: DataFrame, hot_card_rows: int = HOT_CARD_ROWS) -> DataFrame:

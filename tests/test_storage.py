@@ -94,3 +94,16 @@ def test_rows_of_a_file_are_numbered_in_file_order(spark, tmp_path):
         assert numbered.filter("row_id = v").count() == 6000
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+
+
+def test_staged_tables_can_be_dropped(spark, monkeypatch, tmp_path):
+    import os
+
+    from fraudlens import session
+
+    monkeypatch.setattr(session, "shared_dir", lambda _: str(tmp_path))
+    staged = session.stage(spark.range(5), "x")
+    assert staged.count() == 5
+    (root,) = (tmp_path / "fraudlens").iterdir()
+    session.drop_staged(spark)
+    assert not os.path.exists(root)
