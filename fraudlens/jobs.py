@@ -19,11 +19,12 @@ from fraudlens.schemas import (
     DEFAULT_ALERT_COST,
     DEFAULT_THRESHOLD,
     REPORT_THRESHOLDS,
+    RUN_MESSAGE,
     WIDE_FEATURES,
 )
 from fraudlens.session import build_session, drop_staged, stage
 from fraudlens.sources import replay, runs, tables, topics
-from fraudlens.streaming import layers, scoring
+from fraudlens.streaming import layers, monitor, scoring
 
 JOBS: dict[str, tuple[Callable, list[str]]] = {}
 
@@ -210,12 +211,18 @@ def score_cards(spark, a):
     _publish(spark, a, scoring.live_card_alerts(records, model, a.threshold), "card_id")
 
 
-@job("score-wide", "model", "threshold", "run-id", "alert-topic", *_TOPIC)
+@job("score-wide", "model", "threshold", "run-id", "alert-topic", "out", *_TOPIC)
 def score_wide(spark, a):
-    records = silver.envelope(_topic(spark, a))
-    model = runs.load_model(a.model)
-    alerts = scoring.live_wide_alerts(records, model, a.run_id, a.threshold)
-    _publish(spark, a, alerts, "row_id")
+    """Alerts and statistics go to the alert topic, the statistics table to --out."""
+    scored = scoring.score_wide(silver.envelope(_topic(spark, a)), runs.load_model(a.model))
+    send = (
+        monitor.send_to_broker(a.servers, a.alert_topic)
+        if a.topic_format == "kafka"
+        else monitor.send_to_folder(a.alert_topic)
+    )
+    topics.drain(
+        monitor.publish_run(scored, a.run_id, send, a.out, a.checkpoint, a.threshold, a.every)
+    )
 
 
 # -- reports ---------------------------------------------------------------------------------
@@ -239,6 +246,18 @@ def alert_report(spark, a):
     _show("busiest card", al.card_history(alerts, al.busiest_card(alerts)))
 
 
+@job("run-report", "in")
+def run_report(spark, a):
+    """The live view over a folder of published wide alerts and statistics."""
+    messages = stage(silver.decode(spark.read.parquet(getattr(a, "in")), RUN_MESSAGE), "run")
+    stats = al.retained_statistics(al.newest_run(messages, "stats"))
+    _show("run", al.live_run_view(stats))
+    _show("series", al.run_series_long(stats).orderBy(F.desc("processed"), "serie"))
+    raised = al.with_class_names(al.newest_run(messages, "alert"))
+    columns = ["row_id", "Amount", "score", "alert_classe", "latency_ms"]
+    _show("newest", ordering.first_rows(raised.select(*columns), [F.desc("row_id")], 15))
+
+
 @job("wide-report", "in", "format")
 def wide_report(spark, a):
     """The exploration views over wide silver."""

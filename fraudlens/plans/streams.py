@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fraudlens.operators import alerts as al
 from fraudlens.operators import silver
 from fraudlens.plans.layers import rounded
 from fraudlens.plans.registry import query
-from fraudlens.schemas import ENVELOPE, TOPIC_RECORD
+from fraudlens.schemas import ENVELOPE, RUN_MESSAGE, TOPIC_RECORD
 from fraudlens.session import new_path
 from fraudlens.sources import topics, views
 from fraudlens.streaming import layers, monitor, state
@@ -135,6 +136,36 @@ def stream_heartbeat(spark, sf):
     return monitor.heartbeat_statistics(spark, path).drop("ts")
 
 
+@query(
+    "stream_run",
+    """SELECT CAST(5 AS BIGINT) AS run_id, tp + fp + fn + tn AS processed, tp, fp, fn, tn, lat_win, tp + fp AS alerts,
+      round(coalesce(tp / CAST(nullif(tp + fp, 0) AS DOUBLE), 0), 6) AS precision,
+      round(coalesce(tp / CAST(nullif(tp + fn, 0) AS DOUBLE), 0), 6) AS recall,
+      (SELECT count(*) FROM tx WHERE score >= 0.5) AS alert_messages
+    FROM cells, (SELECT round(avg(latency_ms), 1) AS lat_win FROM tx
+      WHERE event_time >= TIMESTAMP '2024-01-24') w""",
+    views=("cells",),
+)
+def stream_run(spark, sf):
+    """Alerts and statistics of a run sent to one topic, read back as the live view."""
+    tx = views.card_tx(spark, sf).withColumnsRenamed({"event_id": "row_id", "amount": "Amount"})
+    rows = tx.select("row_id", "Amount", *_SCORED).coalesce(1)
+    path = new_path(spark, "run-topic")
+    query = monitor.publish_run(
+        stream_of(rows, "scored"),
+        5,
+        monitor.send_to_folder(path),
+        new_path(spark, "beats"),
+        new_path(spark, "run-checkpoint"),
+        every=None,
+    )
+    topics.drain(query)
+    messages = silver.decode(spark.read.parquet(path), RUN_MESSAGE)
+    sent = messages.filter("type = 'alert'").agg(F.count(F.lit(1))).scalar()
+    view = al.live_run_view(messages.filter("type = 'stats'"))
+    return view.withColumn("alert_messages", sent)
+
+
 @query(
     "stream_alert_windows",
     """SELECT time_bucket(INTERVAL 30 SECONDS, event_time) AS bucket, count(*) AS alerts,

@@ -83,6 +83,9 @@ RUN_STATS = _schema(
     "type string, run_id bigint, ts double, processed bigint, tp bigint, fp bigint, fn bigint, "
     "tn bigint, lat_win double"
 )
+RUN_MESSAGE = T.StructType(
+    WIDE_ALERT.fields + [f for f in RUN_STATS.fields if f.name not in WIDE_ALERT.names]
+)
 RAW_CSV = _schema(", ".join(f"{c} double" for c in WIDE_FEATURES) + ", Class int")
 TRAINING_RUN = _schema(
     "experiment string, run_id string, start_time timestamp, params map<string,string>, "

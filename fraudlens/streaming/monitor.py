@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from fraudlens.operators.alerts import to_messages, wide_alerts
 from fraudlens.operators.evaluate import confusion_aggregates
 from fraudlens.schemas import DEFAULT_THRESHOLD
 
@@ -55,6 +58,39 @@ def save_counters(
     return sink.option("checkpointLocation", checkpoint).trigger(**_trigger(every)).start()
 
 
+_COUNTERS = ["processed", "tp", "fp", "fn", "tn"]
+
+
+def _save_beat(batch: DataFrame, epoch: int, run_id: int, path: str, threshold: float) -> DataFrame:
+    """Write the statistics row of a micro-batch and return it as read back.
+
+    Counters go on from the row of the micro-batch before, so a beat costs the same however long
+    the run is; a repeated micro-batch replaces its own row.
+    """
+    spark = batch.sparkSession
+    before = dict.fromkeys(_COUNTERS, 0)
+    if epoch > 0:
+        before = spark.read.parquet(f"{path}/epoch={epoch - 1}").first().asDict()
+    cells = confusion_aggregates(F.col("is_fraud"), F.col("score"), threshold)
+    now = {"processed": F.count(F.lit(1))} | cells
+    row = batch.agg(
+        F.lit(run_id).cast("bigint").alias("run_id"),
+        (F.unix_micros(F.current_timestamp()) / 1e6).alias("ts"),
+        F.count(F.lit(1)).alias("n"),
+        *[(F.lit(before[name]) + now[name]).alias(name) for name in _COUNTERS],
+        F.round(F.avg("latency_ms"), 1).alias("lat_win"),
+    )
+    target = f"{path}/epoch={epoch}"
+    row.write.mode("overwrite").parquet(target)
+    return _as_messages(spark.read.schema(row.schema).parquet(target))
+
+
+def _as_messages(beats: DataFrame) -> DataFrame:
+    return beats.filter("n > 0").select(
+        F.lit("stats").alias("type"), "run_id", "ts", *_COUNTERS, "lat_win"
+    )
+
+
 def heartbeat(
     scored: DataFrame,
     run_id: int,
@@ -63,35 +99,59 @@ def heartbeat(
     threshold: float = DEFAULT_THRESHOLD,
     every: str | None = "2 seconds",
 ) -> StreamingQuery:
-    """One statistics row per micro-batch (T6): its own counts and its mean latency."""
-    cells = confusion_aggregates(F.col("is_fraud"), F.col("score"), threshold)
+    """One statistics row per micro-batch (T6): running counters, the batch's own mean latency."""
 
     def save(batch: DataFrame, epoch: int) -> None:
-        row = batch.agg(
-            F.lit(run_id).cast("bigint").alias("run_id"),
-            F.unix_micros(F.current_timestamp()).alias("sent_us"),
-            F.count(F.lit(1)).alias("n"),
-            *[cell.alias(name) for name, cell in cells.items()],
-            F.round(F.avg("latency_ms"), 1).alias("lat_win"),
-        ).filter("n > 0")
-        row.write.mode("overwrite").parquet(f"{path}/epoch={epoch}")
+        _save_beat(batch, epoch, run_id, path, threshold)
 
     stream = scored.writeStream.foreachBatch(save).option("checkpointLocation", checkpoint)
     return stream.trigger(**_trigger(every)).start()
 
 
 def heartbeat_statistics(spark: SparkSession, path: str) -> DataFrame:
-    """Saved heartbeats as statistics messages with running counters (one row per beat)."""
-    so_far = (
-        Window.partitionBy("run_id").orderBy("epoch").rowsBetween(Window.unboundedPreceding, 0)
-    )
-    return read_epochs(spark, path).select(
-        F.lit("stats").alias("type"),
-        "run_id",
-        (F.col("sent_us") / 1e6).alias("ts"),
-        F.sum("n").over(so_far).alias("processed"),
-        *[F.sum(c).over(so_far).alias(c) for c in ("tp", "fp", "fn", "tn")],
-        "lat_win",
+    """Saved heartbeats as statistics messages."""
+    return _as_messages(read_epochs(spark, path))
+
+
+def publish_run(
+    scored: DataFrame,
+    run_id: int,
+    send: Callable[[DataFrame, int], None],
+    beats: str,
+    checkpoint: str,
+    threshold: float = DEFAULT_THRESHOLD,
+    every: str | None = "2 seconds",
+) -> StreamingQuery:
+    """Send the alerts and the statistics of a wide run as messages of one topic.
+
+    ``send(messages, epoch)`` writes them; each micro-batch is scored once for both.
+    """
+
+    def save(batch: DataFrame, epoch: int) -> None:
+        batch = batch.persist()
+        try:
+            raised = to_messages(wide_alerts(batch, run_id, threshold), "row_id")
+            beat = _save_beat(batch, epoch, run_id, beats, threshold)
+            send(raised.unionByName(to_messages(beat, F.lit("stats"))), epoch)
+        finally:
+            batch.unpersist()
+
+    stream = scored.writeStream.foreachBatch(save).option("checkpointLocation", checkpoint)
+    return stream.trigger(**_trigger(every)).start()
+
+
+def send_to_folder(path: str) -> Callable[[DataFrame, int], None]:
+    """Messages into one folder per micro-batch; a repeated one replaces its own."""
+    return lambda messages, epoch: messages.write.mode("overwrite").parquet(f"{path}/epoch={epoch}")
+
+
+def send_to_broker(servers: str, topic: str) -> Callable[[DataFrame, int], None]:
+    """Messages to a broker topic, at least once."""
+    return lambda messages, _: (
+        messages.write.format("kafka")
+        .option("kafka.bootstrap.servers", servers)
+        .option("topic", topic)
+        .save()
     )
 
 

@@ -54,6 +54,17 @@ def test_wide_jobs(spark, sf_dir, paths, capsys, monkeypatch):
     ).write.parquet(bronze)
     run(spark, "silver-wide", "--in", bronze, "--out", paths["wide"])
     run(spark, "wide-report", "--in", paths["wide"])
+    model, alerts, beats = (new_path(spark, n) for n in ("model", "alerts", "beats"))
+    run(spark, "train-wide", "--in", paths["wide"], "--model", model, "--runs", new_path(spark, "runs"))
+    topic = new_path(spark, "topic")
+    views.wide_topic(spark, sf_dir).repartition(2).write.parquet(topic)
+    run(
+        spark, "score-wide", "--topic", topic, "--model", model, "--alert-topic", alerts, "--out", beats,
+        "--checkpoint", new_path(spark, "checkpoint"), "--cap", 1, "--run-id", 9,
+    )
+    run(spark, "run-report", "--in", alerts)
+    stats = spark.read.parquet(beats).orderBy("processed").collect()
+    assert stats[-1].processed == views.wide_topic(spark, sf_dir).count() and len(stats) == 2
     run(spark, "cost-threshold", "--in", paths["wide"])
     ids = [r.row_id for r in tables.read_current(spark, paths["wide"]).select("row_id").collect()]
     assert sorted(ids) == list(range(10, 410))
