@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fraudlens.functions.columns import timestamp_to_iso
-from fraudlens.operators.ordering import running_totals
+from fraudlens.operators.ordering import with_row_index
 from fraudlens.schemas import CARD_TX, COUNTRIES, WIDE_FEATURES, WIDE_TX
 
 TOPIC = "transactions"
@@ -100,12 +100,10 @@ def card_topic(spark: SparkSession, sf_dir: str, offsets: bool = True) -> DataFr
     """
     rows = card_tx_raw(spark, sf_dir)
     if offsets:
-        rows = running_totals(
-            rows,
-            by=["part"],
-            order=["event_id"],
-            totals={"offs": ("sum", F.lit(1))},
-            inclusive=False,
+        rows = with_row_index(rows, ["part", "event_id"], "place")
+        starts = rows.groupBy("part").agg(F.min("place").alias("first"))  # three parts
+        rows = rows.join(F.broadcast(starts), "part").withColumn(
+            "offs", F.col("place") - F.col("first")
         )
     else:
         rows = rows.withColumn("offs", F.col("event_id"))
