@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import DataStreamReader, StreamingQuery
 from pyspark.sql import types as T
 
 from fraudlens.schemas import TOPIC_RECORD
 
 INTAKE_CAP = 50_000
+INTAKE_BYTES = 1 << 30
 
 
 def read_topic(
@@ -24,7 +25,8 @@ def read_topic(
     """Topic records as a stream.
 
     ``kafka`` subscribes to ``topic`` from the ``starting`` offsets with at most ``cap`` records
-    per trigger.  A file format streams the files of ``path``, at most ``cap`` files per trigger.
+    per trigger.  A file format streams the files of ``path``, at most ``cap`` files per trigger or,
+    without ``cap``, about 1 GiB of files.
     """
     reader = spark.readStream.format(fmt)
     if fmt == "kafka":
@@ -35,9 +37,14 @@ def read_topic(
             .option("maxOffsetsPerTrigger", cap or INTAKE_CAP)
             .load()
         )
-    if cap:
-        reader = reader.option("maxFilesPerTrigger", cap)
-    return reader.schema(schema).load(path)
+    return _capped(reader, cap).schema(schema).load(path)
+
+
+def _capped(reader: DataStreamReader, files: int | None) -> DataStreamReader:
+    """A backlog of any size comes in micro-batches of bounded size."""
+    if files:
+        return reader.option("maxFilesPerTrigger", files)
+    return reader.option("maxBytesPerTrigger", INTAKE_BYTES)
 
 
 def read_table_stream(
@@ -47,13 +54,9 @@ def read_table_stream(
     fmt: str = "parquet",
     files_per_trigger: int | None = None,
 ) -> DataFrame:
-    """A table as a stream (S3)."""
-    reader = spark.readStream.format(fmt)
-    if fmt != "delta":
-        reader = reader.schema(schema)
-    if files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    return reader.load(path)
+    """A table as a stream (S3), at most so many files or about 1 GiB of them per trigger."""
+    reader = _capped(spark.readStream.format(fmt), files_per_trigger)
+    return (reader if fmt == "delta" else reader.schema(schema)).load(path)
 
 
 def append_stream(

@@ -185,3 +185,15 @@ def test_envelope_columns(spark, sf_dir):
 def test_kafka_is_refused_clearly_without_its_connector(spark):
     with pytest.raises(Exception, match="(?i)kafka"):
         topics.read_topic(spark, fmt="kafka", servers="localhost:1", topic="t")
+
+
+def test_backlog_is_read_in_bounded_micro_batches(spark, monkeypatch):
+    path = new_path(spark, "files")
+    df = spark.range(2000).selectExpr("id", "uuid() AS text")
+    for _ in range(3):
+        df.coalesce(1).write.mode("append").parquet(path)
+    monkeypatch.setattr(topics, "INTAKE_BYTES", 1000)  # less than a file
+    stream = topics.read_table_stream(spark, path, df.schema)
+    query = topics.append_stream(stream, new_path(spark, "out"), new_path(spark, "checkpoint"))
+    topics.drain(query)
+    assert [p["numInputRows"] for p in query.recentProgress if p["numInputRows"]] == [2000] * 3
