@@ -22,6 +22,7 @@ def build_session(app: str = "fraudlens", master: str | None = None, **conf: str
         "spark.sql.adaptive.enabled": "true",
         "spark.ui.enabled": "false",
         "spark.sql.streaming.stateStore.providerClass": ROCKSDB_PROVIDER,
+        "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
         **conf,
     }
     builder = SparkSession.builder.appName(app)

@@ -24,11 +24,14 @@ def with_latency(scored: DataFrame, scored_at: Column | None = None) -> DataFram
 
 
 def score_cards(bronze: DataFrame, model: PipelineModel, state: str = "group") -> DataFrame:
-    """Bronze card messages to scored rows with latency; features use earlier rows only."""
+    """Bronze card messages to scored rows with latency; features use earlier rows only.
+
+    Messages without card, amount or readable time have no history to belong to and are left out.
+    """
     messages = silver.scorable(silver.decode(bronze, CARD_TX))
     messages = messages.withColumn("event_time", iso_to_timestamp(F.col("event_time")))
-    usable = messages.filter(F.col("event_time").isNotNull() & F.col("card_id").isNotNull())
-    return with_latency(score(live_features(usable, state), model))
+    needed = ["event_time", "card_id", "amount"]
+    return with_latency(score(live_features(messages.dropna(subset=needed), state), model))
 
 
 def score_wide(bronze: DataFrame, model: PipelineModel) -> DataFrame:

@@ -100,7 +100,8 @@ def main() -> int:
             problem = f"{type(error).__name__}: {str(error)[:1500]}"
         failed += problem is not None
         kind = "sql " if name in catalog.CHECKS else "rows"
-        print(f"{'FAIL' if problem else 'ok  '} {kind} {name:24s} {len(ours):7d} rows {seconds:6.2f}s {problem or ''}", flush=True)
+        state = "FAIL" if problem else "ok  "
+        print(f"{state} {kind} {name:24s} {len(ours):7d} rows {seconds:6.2f}s {problem or ''}", flush=True)
     print(f"{len(names) - failed} of {len(names)} ok")
     spark.stop()
     return failed

@@ -16,7 +16,11 @@ def scored(spark, rows):
 def sample(spark):
     rng = random.Random(5)
     rows = [
-        (int(rng.random() < 0.2), rng.choice([0.0, 0.3, 0.5, 1.0, round(rng.random(), 3)]), round(rng.uniform(0, 90), 2))
+        (
+            int(rng.random() < 0.2),
+            rng.choice([0.0, 0.3, 0.5, 1.0, round(rng.random(), 3)]),
+            round(rng.uniform(0, 90), 2),
+        )
         for _ in range(400)
     ]
     rows += [(1, None, 10.0), (0, float("nan"), 3.0)]

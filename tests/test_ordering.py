@@ -12,7 +12,12 @@ def table(spark, n=500, seed=1):
     """A third of the rows share one order value."""
     rng = random.Random(seed)
     rows = [
-        (7 if i % 3 == 0 else rng.randrange(-50, 10**6), f"{rng.random():.12f}", "hot" if i % 3 else f"g{i % 7}", rng.randrange(5))
+        (
+            7 if i % 3 == 0 else rng.randrange(-50, 10**6),
+            f"{rng.random():.12f}",
+            "hot" if i % 3 else f"g{i % 7}",
+            rng.randrange(5),
+        )
         for i in range(n)
     ]
     return spark.createDataFrame(rows, "t bigint, id string, g string, v bigint").repartition(5), rows

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from test_features import SCHEMA, brute_force, skewed_rows, tx
 
 from fraudlens.operators import silver
+from fraudlens.operators.features import card_features
 from fraudlens.schemas import ENVELOPE, TOPIC_RECORD
 from fraudlens.session import ROCKSDB_PROVIDER, new_path
 from fraudlens.sources import topics, views
@@ -197,3 +198,13 @@ def test_backlog_is_read_in_bounded_micro_batches(spark, monkeypatch):
     query = topics.append_stream(stream, new_path(spark, "out"), new_path(spark, "checkpoint"))
     topics.drain(query)
     assert [p["numInputRows"] for p in query.recentProgress if p["numInputRows"]] == [2000] * 3
+
+
+def test_amounts_of_zero_give_no_ratio_live_or_batch(spark):
+    rows = tx(spark, [("a", "c", 0.0, 0), ("b", "c", 5.0, 10), ("d", "c", 5.0, 20)])
+    path = new_path(spark, "tx")
+    write_files([rows], path)
+    live = drain_to_table(state.live_features(as_stream(spark, path, rows.schema)))
+    for found in (live, card_features(rows)):
+        ratios = {r.transaction_id: r.amount_ratio for r in found.collect()}
+        assert ratios == {"a": 1.0, "b": None, "d": 2.0}
