@@ -5,6 +5,8 @@ from __future__ import annotations
 import json
 import struct
 from collections.abc import Iterable, Iterator
+from functools import lru_cache
+from itertools import accumulate
 from operator import sub
 
 import numpy as np
@@ -47,7 +49,7 @@ class PrefixCounter:
         self.longest = max(map(len, self.token))
         self.encode = self.tokenizer.model.tokenize
         self.pieces = regex.compile(PIECES)
-        self.state: dict[bytes, tuple[bytes, int]] = {b"": (b"", 0)}
+        self.state: dict[bytes, tuple[bytes, int, bytes]] = {b"": (b"", 0, b"")}
         self.follows = Known(self._check_pair, 4 * limit)
         self.words = Known(self._unit, limit)
         self.parts = Known(self._part, limit)
@@ -58,39 +60,49 @@ class PrefixCounter:
         ids = [t.id for t in self.encode("".join([self.letters[b] for b in pair[0] + pair[1]]))]
         return ids == [self.token[x] for x in pair if x]
 
-    def _step(self, prefix: bytes) -> tuple[bytes, int]:
-        """Last token and count of a prefix whose own prefixes are known."""
+    def _step(self, prefix: bytes, last: bytes) -> tuple[bytes, int]:
+        """Last token and count of a prefix; ``last`` is the last token of the prefix one byte shorter.
+
+        Just one token fits, so the likely ones are tried first: the last token made longer, then a new one.
+        """
         n = len(prefix)
-        for first in range(max(0, n - self.longest), n):
+        longer = n - 1 - len(last)
+        for first in (longer, n - 1, *range(max(0, n - self.longest), n)):
             token = prefix[first:]
             if token in self.token:
-                last, count = self.state[prefix[:first]]
-                if self.follows[last, token]:
-                    return token, count + 1
+                before = self.state[prefix[:first]]
+                if self.follows[before[0], token]:
+                    return token, before[1] + 1
         raise ValueError(f"no token ends {prefix!r}")
 
-    def _piece(self, piece: bytes) -> list[int]:
-        """Counts at all prefixes of a piece, the shortest first."""
+    def _piece(self, piece: bytes) -> bytes:
+        """Changes of the count over the bytes of a piece."""
         if piece in _LONG_CONTRACTIONS:  # cut short, it is an apostrophe and a letter
-            return [1, 2, self._run(piece)[-1]]
+            whole = sum(_numbers(self._run(piece)))
+            return _deltas([1, 2, whole])
         return self._run(piece)
 
-    def _run(self, piece: bytes) -> list[int]:
-        state, out = self.state, []
+    def _run(self, piece: bytes) -> bytes:
+        """The same without that rule; prefixes are kept with their last token, count and changes."""
         if len(piece) > 64:  # rare: not kept, as its prefixes take the square of its length
             return self._long_run(piece)
+        state = self.state
         if len(state) > 4 * self.limit:
             state.clear()
-            state[b""] = (b"", 0)
-        for i in range(1, len(piece) + 1):
+            state[b""] = (b"", 0, b"")
+        n = at = len(piece)
+        while piece[:at] not in state:
+            at -= 1
+        last, count, changes = state[piece[:at]]
+        for i in range(at + 1, n + 1):
             prefix = piece[:i]
-            found = state.get(prefix)
-            if found is None:
-                found = state[prefix] = self._step(prefix)
-            out.append(found[1])
-        return out
+            last, now = self._step(prefix, last)
+            changes += _CHANGE[now - count] if -99 < now - count < 99 else struct.pack("<h", now - count)
+            count = now
+            state[prefix] = (last, count, changes)
+        return changes
 
-    def _long_run(self, piece: bytes) -> list[int]:
+    def _long_run(self, piece: bytes) -> bytes:
         last, counts = [b""], [0]
         for i in range(1, len(piece) + 1):
             for first in range(max(0, i - self.longest), i):
@@ -99,7 +111,7 @@ class PrefixCounter:
                     last.append(token)
                     counts.append(counts[first] + 1)
                     break
-        return counts[1:]
+        return _deltas(counts[1:])
 
     def _ordinary(self, text: str) -> list[int]:
         """Counts at all byte prefixes of a text without special tokens."""
@@ -107,12 +119,13 @@ class PrefixCounter:
         run, run_start = b"", 0  # white space that ends what is done, and the total before it
         for piece in self.pieces.findall(text):
             data = piece.encode()
-            own = self._piece(data)
+            own = list(accumulate(_numbers(self._piece(data))))
             here = [total + c for c in own]
             blank = piece.isspace()
             if run and (blank or piece[0] == " "):  # cut behind this white space, the run is one piece
                 k = len(data) if blank else 1
-                here[:k] = [run_start + c for c in self._run(run + data[:k])[len(run) :]]
+                joined = list(accumulate(_numbers(self._run(run + data[:k]))))
+                here[:k] = [run_start + c for c in joined[len(run) :]]
             if blank and not run:
                 run_start = total
             run = run + data if blank else b""
@@ -139,14 +152,16 @@ class PrefixCounter:
         return out
 
     def _part(self, piece: str) -> bytes:
-        return _deltas(self._piece(piece.encode()))
+        return self._piece(piece.encode())
 
     def _unit(self, unit: str) -> bytes | None:
         """Changes over a space and the word behind it; None if more white space touches the space."""
         if not unit or unit[0].isspace() or unit[-1].isspace():
             return None
         if unit.isalpha():
-            return _deltas(self._run(b" " + unit.encode()))
+            return self.parts[" " + unit]
+        if unit[-1] in ".,;:!?" and unit[:-1].isalpha():
+            return self.parts[" " + unit[:-1]] + self.parts[unit[-1]]
         if len(unit.split()) > 1:
             return _deltas(self._ordinary(" " + unit))
         return b"".join([self.parts[p] for p in self.pieces.findall(" " + unit)])
@@ -168,6 +183,19 @@ class PrefixCounter:
             return _deltas(self.counts(text))
 
 
+_CHANGE = {d: struct.pack("<h", d) for d in range(-99, 100)}
+
+
+def _numbers(changes: bytes) -> tuple[int, ...]:
+    return struct.unpack(f"<{len(changes) // 2}h", changes)
+
+
+@lru_cache(maxsize=4)
+def prefix_counter(file: str) -> PrefixCounter:
+    """One counter for all tasks of a Python worker, so that words learnt in one serve the next."""
+    return PrefixCounter(file)
+
+
 def _deltas(counts: list[int]) -> bytes:
     return struct.pack(f"<{len(counts)}h", *map(sub, counts, [0, *counts]))
 
@@ -183,7 +211,7 @@ def prefix_counts(docs: DataFrame, tokenizer: str = "byte_bpe_50k.json", with_pr
     """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter, packer = PrefixCounter(tokenizer), zstandard.ZstdCompressor(1)
+        counter, packer = prefix_counter(tokenizer), zstandard.ZstdCompressor(1)
         for batch in batches:
             sizes, totals, kept = [], [], []
             for text in batch.column(1):
