@@ -22,19 +22,20 @@ class WaveletMatrix:
 
     @staticmethod
     def build(ids: np.ndarray) -> WaveletMatrix:
-        ids = np.ascontiguousarray(ids, np.uint32)
         n = len(ids)
         width = int(ids.max()).bit_length() if n else 0
+        ids = np.ascontiguousarray(ids, np.uint16 if width <= 16 else np.uint32)
         planes, ranks, zeros = [], [], []
         for k in range(width - 1, -1, -1):
-            bit = ((ids >> k) & 1).astype(bool)
+            bit = (ids & ids.dtype.type(1 << k)) != 0
             packed = np.packbits(bit, bitorder="little")
             packed = np.pad(packed, (0, -len(packed) % (_BLOCK // 8)))
             ones = np.bitwise_count(packed.view(np.uint64)).reshape(-1, _BLOCK // 64).sum(1, dtype=np.uint32)
             planes.append(packed)
             ranks.append(np.concatenate(([0], np.cumsum(ones))).astype(np.uint32))
             zeros.append(n - int(ranks[-1][-1]))
-            ids = np.concatenate((ids[~bit], ids[bit]))
+            if k:
+                ids = np.concatenate((np.compress(~bit, ids), np.compress(bit, ids)))
         return WaveletMatrix(n, planes, ranks, zeros)
 
     def _ones(self, k: int, i: np.ndarray) -> np.ndarray:
@@ -63,15 +64,16 @@ class WaveletMatrix:
 
     def tokens(self) -> np.ndarray:
         """All tokens, in order."""
-        value = np.zeros(self.n, np.uint32)
-        order = np.arange(self.n, dtype=np.int32 if self.n < 2**31 else np.int64)
-        for plane in self.planes:
-            bit = np.unpackbits(plane, count=self.n, bitorder="little").astype(bool)
-            value <<= 1
-            ones = order[bit]
-            value[ones] |= 1
-            order = np.concatenate((order[~bit], ones))
-        return value
+        kind = np.uint16 if len(self.planes) <= 16 else np.uint32
+        value = np.zeros(self.n, kind)
+        # upwards from the lowest plane: what stands below it as zeros, then ones, goes back to their places
+        for k, (plane, zeros) in enumerate(zip(reversed(self.planes), reversed(self.zeros))):
+            bit = np.unpackbits(plane, count=self.n, bitorder="little").view(bool)
+            above = np.empty(self.n, kind)
+            above[~bit] = value[:zeros]
+            above[bit] = value[zeros:] | kind(1 << k)
+            value = above
+        return value.astype(np.uint32)
 
     def _range(self, token: int, first: int, last: int) -> tuple[int, int]:
         """Where the occurrences of a token in ``[first, last)`` stand below the lowest plane."""
