@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from fraudlens.llm.tokens import WordEncoder
+from fraudlens.llm.tokens import word_encoder
 
 _SCHEMA = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
@@ -170,7 +170,7 @@ def pack_documents(
     """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, packer = WordEncoder(tokenizer, end_id), LevelPacker(size, max_open)
+        encoder, packer = word_encoder(tokenizer, end_id), LevelPacker(size, max_open)
         number = TaskContext.get().partitionId() << _SEQUENCE_BITS
         for batch in batches:
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fraudlens.llm import wavelet
-from fraudlens.llm.tokens import WordEncoder
+from fraudlens.llm.tokens import word_encoder
 from fraudlens.session import new_path, stage
 
 _MANIFEST = "part int, shard int, path string, n_docs long, n_tokens long, n_bytes long"
@@ -29,7 +29,7 @@ def write_token_files(
     folder: str | None = None,
     tokenizer: str = "word_bpe_49k.json",
     end_id: int = 2,
-    shard_tokens: int = 1 << 22,
+    shard_tokens: int = 1 << 20,
 ) -> DataFrame:
     """Encode ``docs(doc_id, text)`` into files in ascending doc_id order; returns their manifest.
 
@@ -45,7 +45,7 @@ def write_token_files(
     folder = folder or new_path(spark, "tokens")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, part = WordEncoder(tokenizer, end_id), TaskContext.get().partitionId()
+        encoder, part = word_encoder(tokenizer, end_id), TaskContext.get().partitionId()
         system, root = _open(folder)
         system.create_dir(root, recursive=True)
         doc_ids: list = []
@@ -115,7 +115,7 @@ def read_documents(manifest: DataFrame, with_ids: bool = True) -> DataFrame:
                 system, name = _open(path)
                 with system.open_input_file(name) as file:
                     matrix, doc_ids, lengths = wavelet.from_bytes(file.read())
-                ids = matrix.tokens().astype("<u4")
+                ids = matrix.tokens().astype("<u4", copy=False)
                 ends = np.cumsum(np.array([0, *lengths], np.int64))
                 view = memoryview(ids).cast("B")
                 parts = [view[4 * a : 4 * b] for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())]

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+from functools import lru_cache
+
 import numpy as np
 import public_tokenizers
 import regex
@@ -11,8 +14,8 @@ from tokenizers import Tokenizer
 _NOT_SPACE = ("\x1c", "\x1d", "\x1e", "\x1f")
 # Fixed value: the pieces of a word that no token spans.
 _PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
-# Below this, a character needs no normalisation but lower case.
-_PLAIN_END = "ɐ"
+# A mark behind a letter or digit, before white space or the end: a piece of its own.
+_MARK = re.compile(r"([.,])(?=\s|\Z)(?<=[^\W_][.,])")
 
 
 def byte_letters() -> list[str]:
@@ -40,18 +43,20 @@ class WordEncoder:
     """Ids of whole texts as little-endian unsigned 32-bit integers, by the tokenizers library, word by word.
 
     For ``word_bpe_49k.json``, which drops white space and lets no token span it: a text's ids are the ids of
-    its words in a row. A plain word is cut into pieces here and only new pieces go to the library's model;
-    words with other letters or special strings go through the whole tokenizer. ``limit`` bounds what is kept.
+    its words in a row. A text of Latin-1 characters needs no normalisation but lower case; its words are cut into
+    pieces here and only new pieces go to the library's model. Words of other texts, and texts with special strings,
+    go through the whole tokenizer. The limits bound what is kept.
     """
 
-    def __init__(self, file: str, end_id: int | None = None, limit: int = 250_000):
+    def __init__(self, file: str, end_id: int | None = None, words: int = 600_000):
         self.tokenizer = Tokenizer.from_file(public_tokenizers.path(file))
-        self.end = b"" if end_id is None else int(end_id).to_bytes(4, "little")
         self.model = self.tokenizer.model
         self.letters = byte_letters()
         self.specials = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.known = Known(self._word, limit)
-        self.pieces = Known(self._piece, limit)
+        self.bytes = [i.to_bytes(4, "little") for i in range(self.tokenizer.get_vocab_size())]
+        self.end = b"" if end_id is None else int(end_id).to_bytes(4, "little")
+        self.known = Known(self._word, words)
+        self.others = Known(self._whole, words // 4)
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
@@ -59,22 +64,38 @@ class WordEncoder:
     def _piece(self, piece: str) -> bytes:
         if not piece.isascii():
             piece = "".join([self.letters[b] for b in piece.encode()])
-        return b"".join([t.id.to_bytes(4, "little") for t in self.model.tokenize(piece)])
+        ids = self.bytes
+        return b"".join([ids[t.id] for t in self.model.tokenize(piece)])
 
     def _word(self, word: str) -> bytes:
-        if (not word.isascii() and max(word) >= _PLAIN_END) or any(s in word for s in self.specials):
-            return self._whole(word)
-        word = word.lower()
         if word.isalpha():
             return self._piece(word)
         if not word.isprintable():
             return self._whole(word)
-        return b"".join([self.pieces[p] for p in _PIECES.findall(word)])
+        return b"".join([self._piece(p) for p in _PIECES.findall(word)])
 
     def encode(self, text: str | None) -> bytes:
         """The ids of one text, with the end id; a null text is empty."""
         if not text:
             return self.end
-        if any(c in text for c in _NOT_SPACE):
+        if any(c in text for c in _NOT_SPACE) or any(s in text for s in self.specials):
             return self._whole(text) + self.end
-        return b"".join(map(self.known.__getitem__, text.split())) + self.end
+        if text.isascii() or _is_latin(text):
+            words, known = _MARK.sub(r" \1", text.lower()).split(), self.known
+        else:
+            words, known = text.split(), self.others
+        return b"".join(map(known.__getitem__, words)) + self.end
+
+
+def _is_latin(text: str) -> bool:
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return True
+
+
+@lru_cache(maxsize=4)
+def word_encoder(file: str, end_id: int | None) -> WordEncoder:
+    """One encoder for all tasks of a Python worker, so that words learnt in one serve the next."""
+    return WordEncoder(file, end_id)

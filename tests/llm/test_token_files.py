@@ -57,7 +57,7 @@ def test_wavelet_matrix(n, top):
 
 
 def test_words_give_the_ids_of_the_whole_text():
-    encoder = WordEncoder("word_bpe_49k.json", 2, limit=40)
+    encoder = WordEncoder("word_bpe_49k.json", 2, words=40)
     parts = [
         "a", "The", " ", "  ", "\n", "\t", "'s", "DON'T", "hello", "<|endoftext|>", "é", "É", "İ", "ß", "Σ", "½", "²x",
         "1a2", "!!", "\x1c", "\u0085", "​", "é", "ﬁ", "日本", "😀", "\x01", "%%%", " ",
