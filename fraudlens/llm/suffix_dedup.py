@@ -314,7 +314,8 @@ def repeated_spans(
     if not hot.isEmpty():
         states = states.unionByName(_hashed_states(hot, length))
     verdict = classes.join(states, ["anchor", "content"], "left").filter("n > 1 OR state IS NOT NULL")
-    verdict = verdict.select("anchor", "content", "n", "rep", "state")
+    # staged, so that a class of very many occurrences meets it in a join of its own, which is split at run time
+    verdict = stage(verdict.select("anchor", "content", "n", "rep", "state"), "verdicts")
     hits = found.join(verdict, ["anchor", "content"])
     if keep_first:
         is_rep = F.col("rep") == place

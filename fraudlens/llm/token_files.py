@@ -101,9 +101,10 @@ def with_first(manifest: DataFrame) -> DataFrame:
     )
 
 
-def _spread(manifest: DataFrame) -> DataFrame:
-    """Files dealt over tasks: a manifest itself is one small file."""
-    return manifest.select("path", "first").repartition(F.col("path"))
+def _spread(manifest: DataFrame, files: int = 4) -> DataFrame:
+    """Files dealt over tasks, about ``files`` to each: the manifest itself is small and would be one task."""
+    tasks = -(-manifest.count() // files)
+    return manifest.select("path", "first").repartitionByRange(max(1, tasks), "first")
 
 
 def read_documents(manifest: DataFrame, with_ids: bool = True) -> DataFrame:
