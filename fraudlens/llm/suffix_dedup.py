@@ -1,10 +1,10 @@
 """Repeated passages by suffix order: longest previous factors over anchored regions of the texts.
 
-A string of ``length`` bytes holds ``length - GRAM + 1`` grams of GRAM bytes; the gram that hashes lowest (the
-leftmost of equals) is its anchor. Equal strings have their anchor at the same place, so strings can only be
-equal within the group of one anchor gram. Neighbouring strings of a text mostly share their anchor occurrence;
-the run of text that they cover is a region. Only what groups need travels: one hash per region, and bytes
-only of regions whose anchor also occurs in a different region.
+A string of ``length`` bytes holds ``length - GRAM + 1`` grams of GRAM bytes; the one that hashes lowest is its
+anchor. Strings can only be equal within the group of one anchor. Neighbouring strings of a text mostly share
+their anchor; the run of text that they cover is a region, also where the anchor recurs in it (periodic text).
+Only what groups need travels: one hash per region, and bytes only of regions whose anchor also occurs in a
+different region or more than once in their own.
 """
 
 from __future__ import annotations
@@ -23,6 +23,7 @@ from fraudlens.session import stage
 
 GRAM = 64
 _CHUNK = 1 << 21  # bytes of text looked at in one go
+_MOST = 2048  # strings of a region
 _MULTIPLY = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 
 
@@ -51,8 +52,11 @@ def _lowest(keys: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(keys[: len(keys) - rest], keys[rest:]) if rest else keys
 
 
-def regions(data: bytes, length: int = 400) -> Iterator[tuple[int, int, int]]:
-    """(anchor hash, first string, number of strings) of the runs of a text's strings with one anchor occurrence."""
+def regions(data: bytes, length: int = 400) -> Iterator[tuple[int, int, int, int]]:
+    """(anchor hash, first string, number of strings, places of the anchor) of the runs of strings with one anchor.
+
+    A run of more than ``_MOST`` strings is cut, which periodic text makes necessary.
+    """
     step = _CHUNK - length
     for base in range(0, max(len(data) - length + 1, 0), step):
         part = np.frombuffer(data, np.uint8, min(len(data) - base, step + length - 1), base)
@@ -60,11 +64,18 @@ def regions(data: bytes, length: int = 400) -> Iterator[tuple[int, int, int]]:
         grams = _hashes(part, GRAM)
         place = np.arange(len(grams), dtype=np.uint64)
         keys = (grams & ~np.uint64((1 << 21) - 1)) | place
-        anchor = (_lowest(keys, length - GRAM + 1) & np.uint64((1 << 21) - 1)).astype(np.int64)[:strings]
-        first = np.flatnonzero(np.concatenate(([True], anchor[1:] != anchor[:-1])))
-        sizes = np.diff(np.append(first, strings))
-        for h, a, n in zip(grams[anchor[first]].view(np.int64).tolist(), (first + base).tolist(), sizes.tolist()):
-            yield h, a, n
+        at = (_lowest(keys, length - GRAM + 1) & np.uint64((1 << 21) - 1)).astype(np.int64)[:strings]
+        anchor = grams[at]
+        begins = np.flatnonzero(np.concatenate(([True], anchor[1:] != anchor[:-1])))
+        run = np.diff(np.append(begins, strings))
+        cuts = -(-run // _MOST)
+        inside = np.arange(cuts.sum()) - np.repeat(np.cumsum(cuts) - cuts, cuts)
+        first = np.repeat(begins, cuts) + inside * _MOST
+        ends = np.append(first[1:], strings)
+        moved = np.concatenate(([0], np.cumsum(at[1:] != at[:-1])))
+        places = moved[ends - 1] - moved[first] + 1
+        found = (anchor[first].view(np.int64), first + base, ends - first, places)
+        yield from zip(*(x.tolist() for x in found))
 
 
 def _id_columns(docs: DataFrame, *more: str) -> DataFrame:
@@ -74,29 +85,29 @@ def _id_columns(docs: DataFrame, *more: str) -> DataFrame:
     )
 
 
-_REGION = "doc_id long, _text_key long, anchor long, content binary, first long, strings int"
+_REGION = "doc_id long, _text_key long, anchor long, content binary, first long, strings int, places int"
 
 
 def _find_regions(docs: DataFrame, length: int) -> DataFrame:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out: list[list] = [[], [], [], [], [], []]
+            out: list[list] = [[] for _ in range(7)]
             for doc_id, key, text in zip(*(c.to_pylist() for c in batch.columns)):
                 data = (text or "").encode()
-                for anchor, first, n in regions(data, length):
+                for anchor, first, n, places in regions(data, length):
                     content = xxhash.xxh3_128_digest(data[first : first + n + length - 1])
-                    for column, value in zip(out, (doc_id, key, anchor, content, first, n)):
+                    for column, value in zip(out, (doc_id, key, anchor, content, first, n, places)):
                         column.append(value)
                 if len(out[0]) > 50_000:
                     yield _region_batch(out)
-                    out = [[], [], [], [], [], []]
+                    out = [[] for _ in range(7)]
             yield _region_batch(out)
 
     return _id_columns(docs).mapInArrow(run, _REGION)
 
 
 def _region_batch(columns: list[list]) -> pa.RecordBatch:
-    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int32())
+    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int32(), pa.int32())
     names = [x.split()[0] for x in _REGION.split(", ")]
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
 
@@ -291,14 +302,20 @@ def repeated_spans(
     found = stage(_find_regions(docs, length), "regions")
     place = F.struct(F.col("doc_id").isNotNull().alias("known"), "doc_id", "_text_key", "first")
     classes = found.groupBy("anchor", "content").agg(
-        F.count(F.lit(1)).alias("n"), F.min(place).alias("rep"), F.first("strings").alias("strings")
+        F.count(F.lit(1)).alias("n"),
+        F.min(place).alias("rep"),
+        F.first("strings").alias("strings"),
+        F.max("places").alias("places"),
     )
     classes = stage(classes, "region-classes")
     groups = classes.groupBy("anchor").agg(
-        F.count(F.lit(1)).alias("_classes"), F.min("n").alias("_least"), F.sum("n").alias("_times")
+        F.count(F.lit(1)).alias("_classes"),
+        F.min("n").alias("_least"),
+        F.sum("n").alias("_times"),
+        F.max("places").alias("_places"),
     )
-    groups = groups.filter("_times > 1")
-    open_ = F.col("_classes") > 1
+    groups = groups.filter("_times > 1 OR _places > 1")
+    open_ = F.col("_classes") + F.col("_places") > 2
     if not keep_first:
         open_ &= F.col("_least") == 1
     wanted = classes.join(groups.filter(open_).select("anchor", "_classes"), "anchor")

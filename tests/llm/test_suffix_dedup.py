@@ -74,7 +74,7 @@ def test_regions_of_long_texts(monkeypatch):
     monkeypatch.setattr(suffix_dedup, "_CHUNK", 3000)
     data = random.Random(1).randbytes(20_000)
     at = 0
-    for _, first, n in suffix_dedup.regions(data):
+    for _, first, n, _ in suffix_dedup.regions(data):
         assert first == at and n > 0
         at += n
     assert at == len(data) - 399
