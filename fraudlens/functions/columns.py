@@ -50,4 +50,5 @@ def one_hot(value: Column, vocabulary: list[str], prefix: str) -> dict[str, Colu
 
 
 def class_name(label: Column, positive: str = "Fraude", negative: str = "Normale") -> Column:
-    return F.when(label == 1, F.lit(positive)).otherwise(F.lit(negative))
+    """The class of a label; NULL without one."""
+    return F.when(label == 1, F.lit(positive)).when(label == 0, F.lit(negative))

@@ -6,6 +6,7 @@ Every job reads tables and writes tables; the report jobs print small results.
 from __future__ import annotations
 
 import argparse
+import time
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -44,7 +45,8 @@ OPTIONS = {
     "runs": {"help": "run log table"},
     "threshold": {"type": float, "default": DEFAULT_THRESHOLD},
     "alert-cost": {"type": float, "default": DEFAULT_ALERT_COST},
-    "run-id": {"type": int, "default": 1},
+    "run-id": {"type": int, "help": "number of the run; by default the second it starts in"},
+    "keep": {"type": int, "help": "only the newest rows, so many; by default all"},
     "start": {"type": int, "default": 0},
     "limit": {"type": int, "default": 0},
 }
@@ -213,28 +215,31 @@ def score_cards(spark, a):
 
 @job("score-wide", "model", "threshold", "run-id", "alert-topic", "out", *_TOPIC)
 def score_wide(spark, a):
-    """Alerts and statistics go to the alert topic, the statistics table to --out."""
+    """Alerts and statistics go to the alert topic (to a broker at least once), the statistics table to --out."""
+    run_id = a.run_id if a.run_id is not None else int(time.time())
     scored = scoring.score_wide(silver.envelope(_topic(spark, a)), runs.load_model(a.model))
     send = (
         monitor.send_to_broker(a.servers, a.alert_topic)
         if a.topic_format == "kafka"
-        else monitor.send_to_folder(a.alert_topic)
+        else monitor.send_to_folder(a.alert_topic, run_id)
     )
     topics.drain(
-        monitor.publish_run(scored, a.run_id, send, a.out, a.checkpoint, a.threshold, a.every)
+        monitor.publish_run(scored, run_id, send, a.out, a.checkpoint, a.threshold, a.every)
     )
 
 
 # -- reports ---------------------------------------------------------------------------------
 
 
-@job("alert-report", "in", "threshold")
+@job("alert-report", "in", "threshold", "keep")
 def alert_report(spark, a):
     """The alert views over a folder of published card alerts."""
     messages = spark.read.parquet(getattr(a, "in"))
     rows = silver.decode(messages, CARD_ALERT)
     rows = rows.withColumn("event_time", iso_to_timestamp(F.col("event_time")))
-    alerts = stage(al.alert_slice(al.retained_alerts(rows), a.threshold), "alerts")
+    if a.keep:
+        rows = al.retained_alerts(rows, a.keep)
+    alerts = stage(al.alert_slice(rows, a.threshold), "alerts")
     _show("key figures", al.alert_kpis(alerts))
     for column in ("merchant_category", "country"):
         _show(column, al.frequencies(alerts, column))
@@ -246,11 +251,13 @@ def alert_report(spark, a):
     _show("busiest card", al.card_history(alerts, al.busiest_card(alerts)))
 
 
-@job("run-report", "in")
+@job("run-report", "in", "keep")
 def run_report(spark, a):
     """The live view over a folder of published wide alerts and statistics."""
     messages = stage(silver.decode(spark.read.parquet(getattr(a, "in")), RUN_MESSAGE), "run")
-    stats = al.retained_statistics(al.newest_run(messages, "stats"))
+    stats = al.newest_run(messages, "stats")
+    if a.keep:
+        stats = al.retained_statistics(stats, a.keep)
     _show("run", al.live_run_view(stats))
     _show("series", al.run_series_long(stats).orderBy(F.desc("processed"), "serie"))
     raised = al.with_class_names(al.newest_run(messages, "alert"))

@@ -105,9 +105,14 @@ def top_cards(alerts: DataFrame, k: int = 10) -> DataFrame:
 
 
 def flow_matrix(alerts: DataFrame, countries: Sequence[str] = tuple(COUNTRIES)) -> DataFrame:
-    """Alerts by home country (rows) and transaction country (columns), 0 where none."""
-    matrix = alerts.groupBy("home_country").pivot("country", list(countries)).count()
-    return matrix.na.fill(0, list(countries))
+    """Alerts by home country (rows) and transaction country (columns), 0 where none.
+
+    Alerts to any other or no country are counted in ``other``.
+    """
+    known = F.when(F.col("country").isin(list(countries)), F.col("country")).otherwise("other")
+    columns = [*countries, "other"]
+    matrix = alerts.withColumn("country", known).groupBy("home_country").pivot("country", columns).count()
+    return matrix.na.fill(0, columns)
 
 
 def coordinates(spark: SparkSession) -> DataFrame:

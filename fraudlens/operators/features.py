@@ -11,6 +11,7 @@ from fraudlens.schemas import GOLD_COLUMNS, MERCHANTS
 
 HOUR = 3600
 DAY = 86_400
+_CARD = "_card"
 HOT_CARD_ROWS = 1_000_000
 
 
@@ -28,13 +29,15 @@ def card_features(tx: DataFrame, hot_card_rows: int = HOT_CARD_ROWS) -> DataFram
     rows = tx.filter(F.col("event_time").isNotNull()).withColumn(
         "ts", epoch_seconds(F.col("event_time"))
     )
-    hot = hot_keys(rows, "card_id", hot_card_rows)
+    # never null, so that rows without a card are routed and joined like those of any card
+    key = F.coalesce(F.concat(F.lit("="), F.col("card_id")), F.lit(""))
+    hot = hot_keys(rows.select(key.alias(_CARD)), _CARD, hot_card_rows)
     if hot is None:
         history = _history_by_card(rows)
     else:
-        hot = F.broadcast(hot)  # bounded by hot_keys
-        cold_rows = rows.join(hot, "card_id", "left_anti")
-        hot_rows = rows.join(hot, "card_id", "left_semi")
+        rows = rows.withColumn(_CARD, key)
+        cold_rows = rows.join(hot, _CARD, "left_anti")
+        hot_rows = rows.join(hot, _CARD, "left_semi")
         history = _history_by_card(cold_rows).unionByName(_history_split(hot_rows))
     return _finish(history)
 
@@ -59,7 +62,7 @@ def _history_split(rows: DataFrame) -> DataFrame:
     totals = running_totals(
         rows,
         order=["ts", "transaction_id"],
-        by=["card_id"],
+        by=[_CARD],
         totals={
             "n_prev": ("sum", F.lit(1)),
             "sum_prev": ("sum", F.col("amount")),
@@ -67,17 +70,17 @@ def _history_split(rows: DataFrame) -> DataFrame:
         },
         inclusive=False,
     )
-    return totals.join(_hour_counts_by_day(rows), ["card_id", "ts"])
+    return totals.join(_hour_counts_by_day(rows), [_CARD, "ts"])
 
 
 def _hour_counts_by_day(rows: DataFrame) -> DataFrame:
-    """``tx_1h`` per (card, second).
+    """``tx_1h`` per (card, second) of the split cards.
 
     Rows are counted per second first, then windowed per (card, day); the last hour of a day is
     copied into the next day as context.  A window holds at most 25 hours of seconds.
     """
     seconds = (
-        rows.groupBy("card_id", "ts")
+        rows.groupBy(_CARD, "ts")
         .agg(F.count(F.lit(1)).alias("n"))
         .withColumns({"day": F.floor(F.col("ts") / DAY), "context": F.lit(False)})
     )
@@ -85,12 +88,12 @@ def _hour_counts_by_day(rows: DataFrame) -> DataFrame:
     context = seconds.filter(late).withColumns(
         {"day": F.col("day") + 1, "context": F.lit(True)}
     )
-    last_hour = Window.partitionBy("card_id", "day").orderBy("ts").rangeBetween(-HOUR, -1)
+    last_hour = Window.partitionBy(_CARD, "day").orderBy("ts").rangeBetween(-HOUR, -1)
     return (
         seconds.unionByName(context)
         .withColumn("tx_1h", F.coalesce(F.sum("n").over(last_hour), F.lit(0)))
         .filter(~F.col("context"))
-        .select("card_id", "ts", "tx_1h")
+        .select(_CARD, "ts", "tx_1h")
     )
 
 

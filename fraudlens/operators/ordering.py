@@ -244,13 +244,19 @@ def last_rows(df: DataFrame, keys: Sequence[str], n: int) -> DataFrame:
     """The last ``n`` rows of the order, unsorted.
 
     The place of the first row kept is turned into its key, so this is a filter: nothing is
-    shuffled however large ``n`` is.
+    shuffled however large ``n`` is. Rows without the first key are older than all others.
     """
-    extent = _extent(df, keys[0])
+    if n <= 0:
+        return df.limit(0)
+    known = df.filter(F.col(keys[0]).isNotNull())
+    extent = _extent(known, keys[0])
     surplus = extent[2] - n
-    if surplus <= 0:
+    if surplus > 0:
+        return known.filter(~_key_before(keys, keys_at(known, keys, [surplus], extent)[0]))
+    unknown = df.filter(F.col(keys[0]).isNull())
+    if unknown.count() <= -surplus:
         return df
-    return df.filter(~_key_before(keys, keys_at(df, keys, [surplus], extent)[0]))
+    return known.unionByName(unknown.orderBy(*[F.desc(key) for key in keys[1:]]).limit(-surplus))
 
 
 def first_rows(df: DataFrame, order: Sequence[str | Column], k: int) -> DataFrame:
@@ -258,16 +264,11 @@ def first_rows(df: DataFrame, order: Sequence[str | Column], k: int) -> DataFram
     return df.orderBy(*order).limit(k)
 
 
-def hot_keys(
-    df: DataFrame, key: str, min_rows: int, max_keys: int = 100_000
-) -> DataFrame | None:
-    """The keys with at least ``min_rows`` rows, or None.
+def hot_keys(df: DataFrame, key: str, min_rows: int) -> DataFrame | None:
+    """The keys with at least ``min_rows`` rows as a staged table, or None.
 
-    The list only routes rows between two exact plans.  It holds the ``max_keys`` largest, which
-    bounds the broadcast; any key left off takes the ordinary plan.
+    The list routes rows between two exact plans; it is joined as the optimizer finds best.
     """
     counts = df.groupBy(key).count().filter(F.col("count") >= min_rows)
-    keys = counts.orderBy(F.desc("count")).limit(max_keys).select(key).collect()
-    if not keys:
-        return None
-    return df.sparkSession.createDataFrame(keys, df.select(key).schema)
+    keys = stage(counts.select(key), "hot-keys")
+    return None if keys.isEmpty() else keys

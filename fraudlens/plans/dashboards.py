@@ -70,7 +70,9 @@ def top_cards(spark, sf):
     "flow_matrix",
     "SELECT home_country, "
     + ", ".join(f'count(*) FILTER (country = \'{c}\') AS "{c}"' for c in COUNTRIES)
-    + " FROM alerts GROUP BY home_country",
+    + ", count(*) FILTER (country IS NULL OR country NOT IN ("
+    + ", ".join(f"'{c}'" for c in COUNTRIES)
+    + ")) AS other FROM alerts GROUP BY home_country",
     views=("alerts",),
 )
 def flow_matrix(spark, sf):
@@ -128,7 +130,7 @@ def alert_rate(spark, sf):
 
 @query(
     "class_labels",
-    """SELECT transaction_id, CASE WHEN is_fraud = 1 THEN 'Fraude' ELSE 'Normale' END AS classe,
+    """SELECT transaction_id, CASE WHEN is_fraud = 1 THEN 'Fraude' WHEN is_fraud = 0 THEN 'Normale' END AS classe,
       CASE WHEN is_fraud = 1 THEN 'Fraude' WHEN is_fraud = 0 THEN 'Fausse alerte' END AS alert_classe
     FROM alerts""",
     views=("alerts",),
@@ -328,7 +330,7 @@ def replay_cumulative(spark, sf):
 
 @query(
     "replay_latest_hits",
-    """SELECT transaction_id, amount, score, CASE WHEN is_fraud = 1 THEN 'Fraude' ELSE 'Normale' END AS classe
+    """SELECT transaction_id, amount, score, CASE WHEN is_fraud = 1 THEN 'Fraude' WHEN is_fraud = 0 THEN 'Normale' END AS classe
     FROM splits WHERE split = 'test' AND score >= 0.5 ORDER BY event_time DESC, transaction_id LIMIT 12""",
     views=("splits",),
 )

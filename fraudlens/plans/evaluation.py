@@ -180,7 +180,7 @@ def _describe_sql(group: str, value: str, view: str) -> str:
     FROM {view} GROUP BY classe"""
 
 
-_CLASS = "CASE WHEN is_fraud = 1 THEN 'Fraude' ELSE 'Normale' END"
+_CLASS = "CASE WHEN is_fraud = 1 THEN 'Fraude' WHEN is_fraud = 0 THEN 'Normale' END"
 
 
 @query("describe_by_class", _describe_sql(_CLASS, "amount", "tx"), views=("tx",))

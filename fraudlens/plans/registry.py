@@ -92,9 +92,9 @@ SELECT vec_id AS row_id, {_VALUES}, round(abs(CAST(embedding[29] AS DOUBLE)) * 1
   TIMESTAMP '2024-01-01 00:00:00' + to_seconds(vec_id) AS event_time
 FROM embeddings""",
     "wide_raw": """
-SELECT *, row_id AS offs FROM wide
+SELECT *, 2 * row_id AS offs FROM wide
 UNION ALL
-SELECT * REPLACE (event_time + INTERVAL 1 DAY AS event_time), row_id + 1000000 AS offs
+SELECT * REPLACE (event_time + INTERVAL 1 DAY AS event_time), 2 * row_id + 1 AS offs
 FROM wide WHERE row_id % 50 = 0""",
     "indexed": """
 SELECT *, row_number() OVER (ORDER BY event_time, transaction_id) - 1 AS row_idx, count(*) OVER () AS total

@@ -139,11 +139,11 @@ def wide_tx(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def wide_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Wide transactions as topic records; every 50th is sent again one day later."""
-    rows = wide_tx(spark, sf_dir).withColumn("offset", F.col("row_id"))
+    """Wide transactions as topic records; every 50th is sent again one day later, at the odd offset."""
+    rows = wide_tx(spark, sf_dir).withColumn("offset", 2 * F.col("row_id"))
     again = rows.filter(F.col("row_id") % 50 == 0).withColumns(
         {
-            "offset": F.col("row_id") + 1_000_000,
+            "offset": F.col("offset") + 1,
             "event_time": F.col("event_time") + F.expr("interval 1 day"),
         }
     )

@@ -64,13 +64,14 @@ _COUNTERS = ["processed", "tp", "fp", "fn", "tn"]
 def _save_beat(batch: DataFrame, epoch: int, run_id: int, path: str, threshold: float) -> DataFrame:
     """Write the statistics row of a micro-batch and return it as read back.
 
-    Counters go on from the row of the micro-batch before, so a beat costs the same however long
-    the run is; a repeated micro-batch replaces its own row.
+    Counters go on from the row of the micro-batch before of the same run, so a beat costs the same
+    however long the run is, and a run begins at 0; a repeated micro-batch replaces its own row.
     """
     spark = batch.sparkSession
     before = dict.fromkeys(_COUNTERS, 0)
-    if epoch > 0:
-        before = spark.read.parquet(f"{path}/epoch={epoch - 1}").first().asDict()
+    last = f"{path}/run={run_id}/epoch={epoch - 1}"
+    if epoch > 0 and _exists(spark, last):
+        before = spark.read.parquet(last).first().asDict()
     cells = confusion_aggregates(F.col("is_fraud"), F.col("score"), threshold)
     now = {"processed": F.count(F.lit(1))} | cells
     row = batch.agg(
@@ -80,11 +81,16 @@ def _save_beat(batch: DataFrame, epoch: int, run_id: int, path: str, threshold:
         *[(F.lit(before[name]) + now[name]).alias(name) for name in _COUNTERS],
         F.round(F.avg("latency_ms"), 1).alias("lat_win"),
     )
-    target = f"{path}/epoch={epoch}"
+    target = f"{path}/run={run_id}/epoch={epoch}"
     row.write.mode("overwrite").parquet(target)
     return _as_messages(spark.read.schema(row.schema).parquet(target))
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder)
+
+
 def _as_messages(beats: DataFrame) -> DataFrame:
     return beats.filter("n > 0").select(
         F.lit("stats").alias("type"), "run_id", "ts", *_COUNTERS, "lat_win"
@@ -140,9 +146,11 @@ def publish_run(
     return stream.trigger(**_trigger(every)).start()
 
 
-def send_to_folder(path: str) -> Callable[[DataFrame, int], None]:
-    """Messages into one folder per micro-batch; a repeated one replaces its own."""
-    return lambda messages, epoch: messages.write.mode("overwrite").parquet(f"{path}/epoch={epoch}")
+def send_to_folder(path: str, run_id: int) -> Callable[[DataFrame, int], None]:
+    """Messages into one folder per run and micro-batch; a repeated micro-batch replaces its own."""
+    return lambda messages, epoch: messages.write.mode("overwrite").parquet(
+        f"{path}/run={run_id}/epoch={epoch}"
+    )
 
 
 def send_to_broker(servers: str, topic: str) -> Callable[[DataFrame, int], None]:

@@ -66,6 +66,12 @@ def test_matrix_is_dense(spark):
     assert row.pop("home_country") == "MA" and row.pop("FR") == 2 and set(row.values()) == {0}
 
 
+def test_matrix_counts_every_alert(spark):
+    df = alerts(spark, range(4), country=["FR", "JP", None, "FR"], home_country=["MA"] * 4)
+    row = al.flow_matrix(df).first()
+    assert (row.FR, row.other) == (2, 2)
+
+
 def test_ties_in_frequencies_go_by_value(spark):
     assert [r.card_id for r in al.top_cards(alerts(spark, range(4)))  .collect()] == ["c0", "c1"]
 

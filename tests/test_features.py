@@ -88,6 +88,13 @@ def test_skewed_cards_match_brute_force(spark, hot_card_rows):
     assert features(tx(spark, rows), hot_card_rows=hot_card_rows) == brute_force(rows)
 
 
+@pytest.mark.parametrize("hot_card_rows", [10**9, 2])
+def test_rows_without_card_are_one_card_on_both_plans(spark, hot_card_rows):
+    rows = [(f"t{i}", None if i % 2 else "c", 1.0 + i, 700 * i) for i in range(12)]
+    named = [(t, card or "none", amount, second) for t, card, amount, second in rows]
+    assert features(tx(spark, rows), hot_card_rows=hot_card_rows) == brute_force(named)
+
+
 def test_foreign_is_null_without_country(spark):
     row = ("t", "c", 1.0, "fuel", None, "FR", START, 0)
     df = spark.createDataFrame([row], SCHEMA)

@@ -123,3 +123,11 @@ def test_hot_keys_lists_the_largest(data):
     df, _ = data
     assert [r.g for r in ordering.hot_keys(df, "g", 100).collect()] == ["hot"]
     assert ordering.hot_keys(df, "g", 10_000) is None
+
+
+@pytest.mark.parametrize("n", [0, 1, 3, 4, 6, 9])
+def test_last_rows_take_unknown_times_last(spark, n):
+    rows = [(i, i if i % 2 else None) for i in range(8)]
+    df = spark.createDataFrame(rows, "id long, t long")
+    want = sorted(rows, key=lambda r: (r[1] is not None, r[1] or 0, r[0]))[max(0, 8 - n) :]
+    assert {r.id for r in ordering.last_rows(df, ["t", "id"], n).collect()} == {r[0] for r in want[:n]}

@@ -7,7 +7,7 @@ from test_features import SCHEMA, brute_force, skewed_rows, tx
 
 from fraudlens.operators import silver
 from fraudlens.operators.features import card_features
-from fraudlens.schemas import ENVELOPE, TOPIC_RECORD
+from fraudlens.schemas import ENVELOPE, RUN_MESSAGE, TOPIC_RECORD
 from fraudlens.session import ROCKSDB_PROVIDER, new_path
 from fraudlens.sources import topics, views
 from fraudlens.streaming import layers, monitor, state
@@ -163,6 +163,30 @@ def test_heartbeat_latency_is_per_batch(spark, scored_files):
     assert {b.run_id for b in beats} == {7}
 
 
+def test_runs_into_one_topic_stay_apart(spark, scored_files):
+    """A second run, with a checkpoint of its own, starts its counters at 0 and replaces nothing."""
+    _, stream = scored_files
+    stream = stream.withColumn("row_id", F.unix_micros("event_time")).withColumn("Amount", F.lit(1.0))
+    path, beats = new_path(spark, "run-topic"), new_path(spark, "beats")
+    for run_id in (1, 2):
+        send = monitor.send_to_folder(path, run_id)
+        topics.drain(monitor.publish_run(stream, run_id, send, beats, new_path(spark, "checkpoint"), every=None))
+    messages = silver.decode(spark.read.parquet(path), RUN_MESSAGE)
+    counts = {(r.run_id, r.type): r["count"] for r in messages.groupBy("run_id", "type").count().collect()}
+    assert counts[1, "stats"] == counts[2, "stats"] == 3
+    assert counts[1, "alert"] == counts[2, "alert"] > 0
+    found = monitor.heartbeat_statistics(spark, beats).orderBy("run_id", "processed").collect()
+    assert [(b.run_id, b.processed) for b in found] == [(r, n) for r in (1, 2) for n in (30, 60, 90)]
+
+
+def test_a_new_run_on_an_old_checkpoint_starts_at_zero(spark, scored_files):
+    batch = spark.createDataFrame([(1, 0.9, 5.0)] * 2, "is_fraud int, score double, latency_ms double")
+    path = new_path(spark, "beats")
+    for run_id, epoch, processed in ((1, 0, 2), (1, 1, 4), (2, 2, 2), (2, 3, 4)):
+        row = monitor._save_beat(batch, epoch, run_id, path, 0.5).first()
+        assert (row.run_id, row.processed) == (run_id, processed)
+
+
 def test_alert_windows_close_with_the_watermark(spark, scored_files):
     _, stream = scored_files
     found = drain_to_table(monitor.alert_windows(stream, 30, "10 seconds")).collect()
