@@ -36,7 +36,7 @@ def default_targets(cells: DataFrame, power: float) -> dict[str, DataFrame]:
     for d in DIMENSIONS:
         totals = cells.groupBy(F.col(f"_{d}").alias("value")).agg(F.sum("_tokens").alias("t")).filter("t > 0")
         flat = totals.select("value", F.pow(F.col("t").cast("double"), F.lit(power)).alias("f"))
-        out[d] = flat.crossJoin(F.broadcast(flat.agg(F.sum("f").alias("all")))).selectExpr("value", "f / all AS share")
+        out[d] = flat.select("value", (F.col("f") / flat.agg(F.sum("f")).scalar()).alias("share"))
     return out
 
 
@@ -47,10 +47,9 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], fraction: float, cycle
     then language, then topic, and cuts what exceeds a cell's tokens. Values without a target get none.
     Only one row per cell takes part; sums are pre-aggregated, and each cycle is written and read again.
     """
-    everything = F.broadcast(cells.agg((F.sum("_tokens") * fraction).alias("_budget")))
+    budget = cells.agg(F.sum("_tokens") * fraction).scalar()
     goals = {
-        d: stage(t.crossJoin(everything).selectExpr("value", "share * _budget AS _goal"), f"goals-{d}")
-        for d, t in targets.items()
+        d: stage(t.select("value", (F.col("share") * budget).alias("_goal")), f"goals-{d}") for d, t in targets.items()
     }
     state = cells.withColumn("_weight", F.col("_tokens") * fraction)
     for _ in range(cycles):
