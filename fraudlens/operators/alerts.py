@@ -211,12 +211,15 @@ def interval_series(alerts: DataFrame, seconds: int = 30) -> DataFrame:
         alerts.groupBy(F.window("event_time", step).start.alias("bucket"))
         .agg(F.count(F.lit(1)).alias("alerts"), F.avg("latency_ms").alias("mean_latency_ms"))
     )
-    # One row per day first, then the intervals of each day: no array spans the whole series.
+    # One row per day first, dealt over tasks, then the intervals of each day: no array and no
+    # task spans the whole series.
     ends = found.agg(F.min("bucket").alias("lo"), F.max("bucket").alias("hi"))
     one_day = F.expr("interval 1 day")
     days = ends.select(
         "lo", "hi", F.explode(F.sequence(F.date_trunc("day", "lo"), F.col("hi"), one_day)).alias("d")
     )
+    tasks = int(alerts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    days = days.repartition(tasks, "d")
     first = F.greatest("lo", "d")
     last = F.least(F.col("hi"), F.col("d") + one_day - F.expr(f"interval {step}"))
     spine = days.select(F.explode(F.sequence(first, last, F.expr(f"interval {step}"))).alias("bucket"))

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from fraudlens.operators import alerts as al
 from fraudlens.operators import silver
@@ -17,44 +20,48 @@ from fraudlens.streaming import layers, monitor, state
 _WEEKS = ["2024-01-08", "2024-01-16", "2024-01-24"]
 
 
-def publish(df: DataFrame, name: str, time: str = "event_time") -> str:
-    """Write rows as a topic folder, in four steps of time so that streams see them in order.
+def by_week(df: DataFrame, time: str = "event_time") -> DataFrame:
+    """Rows with the ``step`` they are sent in: four steps of time; rows without a time come last."""
+    passed = [F.coalesce(F.col(time) >= F.lit(w).cast("timestamp"), F.lit(True)) for w in _WEEKS]
+    return df.withColumn("step", sum(p.cast("int") for p in passed))
+
+
+def in_steps(rows: DataFrame, path: str) -> Iterator[int]:
+    """Append rows to a topic folder step by step.
 
-    Rows without a time come with the last step.
+    The caller drains its streams after each, so a step is a micro-batch however many files it has.
     """
-    path = new_path(df.sparkSession, name)
-    edges = [None, *_WEEKS, None]
-    for low, high in zip(edges, edges[1:]):
-        part = df
-        if low:
-            part = part.filter(F.col(time) >= F.lit(low).cast("timestamp"))
-        if high:
-            part = part.filter(F.col(time) < F.lit(high).cast("timestamp"))
-        else:
-            part = part.unionByName(df.filter(F.col(time).isNull()))
-        part.write.mode("append").parquet(path)
-    return path
-
-
-def stream_of(df: DataFrame, name: str, time: str = "event_time") -> DataFrame:
-    """Rows as a file stream in time order."""
-    path = publish(df, name, time)
-    return topics.read_table_stream(df.sparkSession, path, df.schema, files_per_trigger=1)
-
-
-def drained(df: DataFrame, name: str) -> DataFrame:
-    """Append a stream to a new table, wait until its source is drained, read the table."""
-    spark = df.sparkSession
-    path = new_path(spark, name)
-    topics.drain(topics.append_stream(df, path, new_path(spark, f"{name}-checkpoint")))
-    return spark.read.schema(df.schema).parquet(path)
+    spark = rows.sparkSession
+    staged = new_path(spark, "steps")
+    rows.write.partitionBy("step").parquet(staged)
+    split = spark.read.schema(rows.schema).parquet(staged)
+    for (step,) in sorted(map(tuple, split.select("step").distinct().collect())):  # four at most
+        split.filter(F.col("step") == step).drop("step").write.mode("append").parquet(path)
+        yield step
+
+
+def drained(
+    rows: DataFrame, name: str, transform: Callable[[DataFrame], DataFrame] = lambda df: df
+) -> DataFrame:
+    """Send rows in their steps through a stream into a new table, and read the table."""
+    spark = rows.sparkSession
+    source, path, checkpoint = (new_path(spark, f"{name}{end}") for end in ("-in", "", "-checkpoint"))
+    for _ in in_steps(rows, source):
+        stream = transform(uncapped(spark, source, rows.drop("step").schema))
+        topics.drain(topics.append_stream(stream, path, checkpoint))
+    return spark.read.schema(stream.schema).parquet(path)
+
+
+def uncapped(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """A folder as a stream that takes all new files at once."""
+    return spark.readStream.schema(schema).parquet(path)
 
 
 def land_card_topic(spark: SparkSession, sf: str, offsets: bool) -> str:
     """Stream the card topic into a bronze table and return its path."""
-    topic = publish(views.card_topic(spark, sf, offsets), "topic", "timestamp")
+    topic, bronze = new_path(spark, "topic"), new_path(spark, "bronze")
+    views.card_topic(spark, sf, offsets).write.parquet(topic)
     records = topics.read_topic(spark, path=topic, cap=2, schema=TOPIC_RECORD)
-    bronze = new_path(spark, "bronze")
     topics.drain(layers.land_bronze(records, bronze, new_path(spark, "bronze-checkpoint")))
     return bronze
 
@@ -95,7 +102,7 @@ def stream_features(spark, sf):
     tx = views.card_tx(spark, sf).select(
         "transaction_id", "card_id", "amount", "country", "home_country", "event_time"
     )
-    found = drained(state.live_features(stream_of(tx, "tx")), "features")
+    found = drained(by_week(tx), "features", state.live_features)
     columns = ["transaction_id", "n_prev", "amount_ratio", "tx_1h", "sec_since_prev", "is_foreign"]
     return rounded(found.select(*columns), "amount_ratio")
 
@@ -110,10 +117,11 @@ _SCORED = ["event_time", "is_fraud", "score", "latency_ms"]
     views=("cells",),
 )
 def stream_counters(spark, sf):
-    scored = stream_of(views.card_tx(spark, sf).select(*_SCORED), "scored")
-    path = new_path(spark, "counters")
-    counters = monitor.quality_counters(scored)
-    topics.drain(monitor.save_counters(counters, path, new_path(spark, "counters-checkpoint")))
+    rows = by_week(views.card_tx(spark, sf).select(*_SCORED))
+    source, path, checkpoint = (new_path(spark, n) for n in ("scored", "counters", "checkpoint"))
+    for _ in in_steps(rows, source):
+        counters = monitor.quality_counters(uncapped(spark, source, rows.drop("step").schema))
+        topics.drain(monitor.save_counters(counters, path, checkpoint))
     return monitor.latest_epoch(spark, path)
 
 
@@ -132,12 +140,11 @@ def stream_counters(spark, sf):
     views=("tx",),
 )
 def stream_heartbeat(spark, sf):
-    # one file per step, so that a micro-batch is a step
-    scored = stream_of(views.card_tx(spark, sf).select(*_SCORED).coalesce(1), "scored")
-    path = new_path(spark, "heartbeat")
-    topics.drain(
-        monitor.heartbeat(scored, 1, path, new_path(spark, "heartbeat-checkpoint"), every=None)
-    )
+    rows = by_week(views.card_tx(spark, sf).select(*_SCORED))
+    source, path, checkpoint = (new_path(spark, n) for n in ("scored", "heartbeat", "checkpoint"))
+    for _ in in_steps(rows, source):
+        scored = uncapped(spark, source, rows.drop("step").schema)
+        topics.drain(monitor.heartbeat(scored, 1, path, checkpoint, every=None))
     return monitor.heartbeat_statistics(spark, path).drop("ts")
 
 
@@ -154,17 +161,13 @@ def stream_heartbeat(spark, sf):
 def stream_run(spark, sf):
     """Alerts and statistics of a run sent to one topic, read back as the live view."""
     tx = views.card_tx(spark, sf).withColumnsRenamed({"event_id": "row_id", "amount": "Amount"})
-    rows = tx.select("row_id", "Amount", *_SCORED).coalesce(1)
-    path = new_path(spark, "run-topic")
-    query = monitor.publish_run(
-        stream_of(rows, "scored"),
-        5,
-        monitor.send_to_folder(path, 5),
-        new_path(spark, "beats"),
-        new_path(spark, "run-checkpoint"),
-        every=None,
-    )
-    topics.drain(query)
+    rows = by_week(tx.select("row_id", "Amount", *_SCORED))
+    names = ("scored", "run-topic", "beats", "run-checkpoint")
+    source, path, beats, checkpoint = (new_path(spark, n) for n in names)
+    send = monitor.send_to_folder(path, 5)
+    for _ in in_steps(rows, source):
+        scored = uncapped(spark, source, rows.drop("step").schema)
+        topics.drain(monitor.publish_run(scored, 5, send, beats, checkpoint, every=None))
     messages = silver.decode(spark.read.parquet(path), RUN_MESSAGE)
     sent = messages.filter("type = 'alert'").agg(F.count(F.lit(1))).scalar()
     view = al.live_run_view(messages.filter("type = 'stats'"))
@@ -183,7 +186,7 @@ def stream_run(spark, sf):
 def stream_alert_windows(spark, sf):
     """The intervals the watermark has closed when the source is drained."""
     rows = views.alerts(spark, sf).select("event_time", "latency_ms")
-    return drained(monitor.alert_windows(stream_of(rows, "alerts")), "windows")
+    return drained(by_week(rows), "windows", monitor.alert_windows)
 
 
 @query(
@@ -193,11 +196,10 @@ def stream_alert_windows(spark, sf):
 )
 def stream_dedup(spark, sf):
     """The first copy of each wide row; the repeats come in a later micro-batch."""
-    topic = views.wide_topic(spark, sf)
-    first = F.col("offset") % 2 == 0
-    path = new_path(spark, "wide-topic")
-    for part in (topic.filter(first), topic.filter(~first)):
-        part.coalesce(1).write.mode("append").parquet(path)
-    records = topics.read_topic(spark, path=path, cap=1, schema=TOPIC_RECORD)
-    rows = silver.wide_rows(silver.envelope(records))
-    return drained(layers.dedupe_stream(rows, "row_id", "event_time", "2 days"), "dedup")
+    records = views.wide_topic(spark, sf).withColumn("step", (F.col("offset") % 2).cast("int"))
+
+    def deduped(stream: DataFrame) -> DataFrame:
+        rows = silver.wide_rows(silver.envelope(stream))
+        return layers.dedupe_stream(rows, "row_id", "event_time", "2 days")
+
+    return drained(records, "dedup", deduped)

@@ -6,11 +6,11 @@ import time
 import uuid
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fraudlens.operators.ordering import with_row_index
+from fraudlens.session import stage
 
 _VERSION = "version="
 
@@ -79,15 +79,25 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
 def number_rows(df: DataFrame, name: str = "row_id") -> DataFrame:
     """Rows of a file scan with their 0-based position, files by path and rows by place.
 
-    A file may be read in several splits, so the place is the split's start and the row in it.
+    A file may be read in several splits. A row's place in its split is its distance to the
+    split's first row; the rows before a split are added up over one row per split, staged so that
+    the optimizer knows its size when it joins. ``df`` is a scan without filters.
     """
-    place = {
-        "_file": F.col("_metadata.file_path"),
-        "_split": F.col("_metadata.file_block_start"),
-    }
     columns = df.columns
-    placed = df.withColumns(place).withColumn("_row", F.monotonically_increasing_id())
-    return with_row_index(placed, list(place) + ["_row"], name).select(name, *columns)
+    keys = ["_file", "_split"]
+    placed = df.select(
+        "*",
+        F.col("_metadata.file_path").alias("_file"),
+        F.col("_metadata.file_block_start").alias("_split"),
+        F.monotonically_increasing_id().alias("_id"),
+    )
+    sizes = placed.groupBy(*keys).agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy(*keys).rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select(
+        *keys, "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start")
+    )
+    position = F.col("_start") + F.col("_id") - F.col("_first")
+    return placed.join(stage(starts, "splits"), keys).select(position.alias(name), *columns)
 
 
 def write_csv(df: DataFrame, path: str, label: str | None = None) -> None:
