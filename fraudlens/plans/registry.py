@@ -91,6 +91,8 @@ SELECT vec_id AS row_id, {_VALUES}, round(abs(CAST(embedding[29] AS DOUBLE)) * 1
   CASE WHEN label = 0 THEN 1 ELSE 0 END AS is_fraud,
   TIMESTAMP '2024-01-01 00:00:00' + to_seconds(vec_id) AS event_time
 FROM embeddings""",
+    "wide_index": """
+SELECT row_id, row_number() OVER (ORDER BY row_id) - 1 AS place, count(*) OVER () AS total FROM wide""",
     "wide_raw": """
 SELECT *, 2 * row_id AS offs FROM wide
 UNION ALL
@@ -138,6 +140,7 @@ NEEDS: dict[str, tuple[str, ...]] = {
     "alerts": ("tx",),
     "silver": ("tx_raw",),
     "gold": ("tx",),
+    "wide_index": ("wide",),
     "wide_raw": ("wide",),
     "indexed": ("tx",),
     "splits": ("indexed",),
