@@ -38,7 +38,10 @@ OPTIONS = {
     "servers": {"help": "broker addresses"},
     "topic": {"help": "topic name, or folder of a topic kept as files"},
     "alert-topic": {"help": "topic or folder for alerts"},
-    "starting": {"default": "earliest", "help": "earliest or latest"},
+    "starting": {
+        "choices": ["earliest", "latest"],
+        "help": "by default latest for scorers with a trigger interval, earliest for all other jobs",
+    },
     "cap": {"type": int, "help": "records (or files) per trigger"},
     "every": {"help": "trigger interval; without it the job drains its source and stops"},
     "model": {"help": "model folder"},
@@ -47,6 +50,13 @@ OPTIONS = {
     "alert-cost": {"type": float, "default": DEFAULT_ALERT_COST},
     "run-id": {"type": int, "help": "number of the run; by default the second it starts in"},
     "keep": {"type": int, "help": "only the newest rows, so many; by default all"},
+    "versions": {"type": int, "help": "finished versions of the table to keep; by default all"},
+    "country": {"nargs": "*", "help": "only alerts of these countries"},
+    "merchant": {"nargs": "*", "help": "only alerts of these merchant categories"},
+    "bronze": {"help": "bronze table"},
+    "silver": {"help": "silver table"},
+    "gold": {"help": "gold table"},
+    "experiment": {"default": "fraud-detection", "help": "name in the run log"},
     "start": {"type": int, "default": 0},
     "limit": {"type": int, "default": 0},
 }
@@ -65,12 +75,18 @@ def _show(title: str, df: DataFrame, rows: int = 20) -> None:
     df.show(rows, truncate=False)
 
 
-def _topic(spark: SparkSession, a) -> DataFrame:
+def _topic(spark: SparkSession, a, starting: str = "earliest") -> DataFrame:
     return topics.read_topic(
-        spark, a.topic_format, a.topic, a.servers, a.topic, a.starting, a.cap
+        spark, a.topic_format, a.topic, a.servers, a.topic, a.starting or starting, a.cap,
+        checkpoint=a.checkpoint,
     )
 
 
+def _live(a) -> str:
+    """A scorer that keeps running begins with new messages, one that drains takes what is there."""
+    return "latest" if a.every else "earliest"
+
+
 _TOPIC = ("topic", "topic-format", "servers", "starting", "cap", "every", "checkpoint")
 
 
@@ -102,20 +118,20 @@ def silver_card(spark, a):
     topics.drain(query)
 
 
-@job("silver-wide", "in", "out", "format")
+@job("silver-wide", "in", "out", "format", "versions")
 def silver_wide(spark, a):
-    rows = silver.silver_wide(tables.read_table(spark, getattr(a, "in"), a.format))
-    tables.replace_table(rows, a.out, a.format)
+    rows = silver.silver_wide(tables.read_latest(spark, getattr(a, "in"), a.format))
+    tables.replace_table(rows, a.out, a.format, a.versions)
     written = tables.read_current(spark, a.out, a.format)
     _show("rows and frauds", explore.overview(written))
     columns = ["row_id", "V1", "V2", "Amount", "is_fraud"]
     _show("first rows", ordering.first_rows(written.select(*columns), ["row_id"], 5))
 
 
-@job("gold", "in", "out", "format")
+@job("gold", "in", "out", "format", "versions")
 def gold(spark, a):
-    rows = features.card_features(tables.read_table(spark, getattr(a, "in"), a.format))
-    tables.replace_table(rows, a.out, a.format)
+    rows = features.card_features(tables.read_latest(spark, getattr(a, "in"), a.format))
+    tables.replace_table(rows, a.out, a.format, a.versions)
     written = tables.read_current(spark, a.out, a.format)
     _show("features by label", quality.feature_profile(written))
 
@@ -125,7 +141,7 @@ def gold(spark, a):
 
 @job("check-bronze", "in", "format")
 def check_bronze(spark, a):
-    rows = tables.read_table(spark, getattr(a, "in"), a.format)
+    rows = tables.read_latest(spark, getattr(a, "in"), a.format)
     _show("partitions", quality.partition_offsets(rows))
     _show("labels", quality.raw_label_counts(rows))
     _show("topics", quality.topic_depth(rows))
@@ -134,7 +150,7 @@ def check_bronze(spark, a):
 
 @job("check-silver", "in", "format")
 def check_silver(spark, a):
-    rows = tables.read_table(spark, getattr(a, "in"), a.format)
+    rows = tables.read_latest(spark, getattr(a, "in"), a.format)
     _show("profile", quality.table_profile(rows))
     _show("columns", quality.column_profile(rows), 50)
     _show("frauds", rows.filter("is_fraud = 1"), 3)
@@ -142,7 +158,7 @@ def check_silver(spark, a):
 
 @job("check-gold", "in", "format")
 def check_gold(spark, a):
-    rows = tables.read_current(spark, getattr(a, "in"), a.format)
+    rows = tables.read_latest(spark, getattr(a, "in"), a.format)
     _show("profile", quality.table_profile(rows))
     _show("features by label", quality.feature_profile(rows))
 
@@ -172,7 +188,7 @@ def _train(spark, a, rows, keys, fit, params, experiment) -> None:
 
 @job("train-card", "in", "model", "runs", "format")
 def train_card(spark, a):
-    rows = tables.read_current(spark, getattr(a, "in"), a.format)
+    rows = tables.read_latest(spark, getattr(a, "in"), a.format)
     _train(
         spark, a, rows, ["event_time", "transaction_id"],
         models.train_card, models.CARD_PARAMS, "fraud-detection",
@@ -181,7 +197,7 @@ def train_card(spark, a):
 
 @job("train-wide", "in", "model", "runs", "format")
 def train_wide(spark, a):
-    rows = tables.read_current(spark, getattr(a, "in"), a.format)
+    rows = tables.read_latest(spark, getattr(a, "in"), a.format)
     _train(
         spark, a, rows, ["row_id"],
         models.train_wide, models.WIDE_PARAMS, "fraud-detection-real",
@@ -190,48 +206,64 @@ def train_wide(spark, a):
 
 @job("cost-threshold", "in", "alert-cost", "format")
 def cost_threshold(spark, a):
-    rows = tables.read_current(spark, getattr(a, "in"), a.format)
+    rows = tables.read_latest(spark, getattr(a, "in"), a.format)
     report = models.cost_threshold_run(
         rows, ["row_id"], models.train_wide, alert_cost=a.alert_cost
     )
     _show("strategies", report)
 
 
-def _publish(spark, a, alerts: DataFrame, key: str) -> None:
-    topics.drain(
-        topics.publish_stream(
-            al.to_messages(alerts, key), a.checkpoint, a.topic_format, a.alert_topic, a.servers,
-            a.alert_topic, a.every,
-        )
-    )
+def _sender(a, run_id: int):
+    if a.topic_format == "kafka":
+        return monitor.send_to_broker(a.servers, a.alert_topic)
+    return monitor.send_to_folder(a.alert_topic, run_id)
+
+
+def _run_id(a) -> int:
+    return a.run_id if a.run_id is not None else int(time.time())
 
 
-@job("score-cards", "model", "threshold", "alert-topic", *_TOPIC)
+@job("score-cards", "model", "threshold", "run-id", "alert-topic", "out", *_TOPIC)
 def score_cards(spark, a):
-    records = silver.envelope(_topic(spark, a))
+    """Alerts go to the alert topic (to a broker at least once); with --out, running counters to that table."""
+    records = silver.envelope(_topic(spark, a, _live(a)))
     model = runs.load_model(a.model)
-    _publish(spark, a, scoring.live_card_alerts(records, model, a.threshold), "card_id")
+    if not a.out:
+        alerts = al.to_messages(scoring.live_card_alerts(records, model, a.threshold), "card_id")
+        topics.drain(
+            topics.publish_stream(
+                alerts, a.checkpoint, a.topic_format, a.alert_topic, a.servers, a.alert_topic, a.every
+            )
+        )
+        return
+    run_id = _run_id(a)
+    scored = scoring.score_cards(records, model)
+    topics.drain(
+        monitor.publish_cards(
+            scored, run_id, _sender(a, run_id), a.out, a.checkpoint, a.threshold, a.every
+        )
+    )
+    beats = monitor.read_epochs(spark, a.out).filter(F.col("run_id") == run_id)
+    _show("counters", evaluate.with_prf(ordering.first_rows(beats, [F.desc("processed")], 1)))
 
 
 @job("score-wide", "model", "threshold", "run-id", "alert-topic", "out", *_TOPIC)
 def score_wide(spark, a):
     """Alerts and statistics go to the alert topic (to a broker at least once), the statistics table to --out."""
-    run_id = a.run_id if a.run_id is not None else int(time.time())
-    scored = scoring.score_wide(silver.envelope(_topic(spark, a)), runs.load_model(a.model))
-    send = (
-        monitor.send_to_broker(a.servers, a.alert_topic)
-        if a.topic_format == "kafka"
-        else monitor.send_to_folder(a.alert_topic, run_id)
-    )
+    run_id = _run_id(a)
+    records = silver.envelope(_topic(spark, a, _live(a)))
+    scored = scoring.score_wide(records, runs.load_model(a.model))
     topics.drain(
-        monitor.publish_run(scored, run_id, send, a.out, a.checkpoint, a.threshold, a.every)
+        monitor.publish_run(
+            scored, run_id, _sender(a, run_id), a.out, a.checkpoint, a.threshold, a.every
+        )
     )
 
 
 # -- reports ---------------------------------------------------------------------------------
 
 
-@job("alert-report", "in", "threshold", "keep")
+@job("alert-report", "in", "threshold", "country", "merchant", "keep")
 def alert_report(spark, a):
     """The alert views over a folder of published card alerts."""
     messages = spark.read.parquet(getattr(a, "in"))
@@ -239,7 +271,7 @@ def alert_report(spark, a):
     rows = rows.withColumn("event_time", iso_to_timestamp(F.col("event_time")))
     if a.keep:
         rows = al.retained_alerts(rows, a.keep)
-    alerts = stage(al.alert_slice(rows, a.threshold), "alerts")
+    alerts = stage(al.alert_slice(rows, a.threshold, a.country, a.merchant), "alerts")
     _show("key figures", al.alert_kpis(alerts))
     for column in ("merchant_category", "country"):
         _show(column, al.frequencies(alerts, column))
@@ -268,13 +300,38 @@ def run_report(spark, a):
 @job("wide-report", "in", "format")
 def wide_report(spark, a):
     """The exploration views over wide silver."""
-    rows = tables.read_current(spark, getattr(a, "in"), a.format)
+    rows = tables.read_latest(spark, getattr(a, "in"), a.format)
     _show("overview", explore.overview(rows))
     _show("frauds over time", explore.label_bins(rows).orderBy("bin"), 40)
     _show("amounts by class", explore.describe(rows))
     _show("correlation", explore.label_correlation(rows, WIDE_FEATURES))
 
 
+@job("status", "bronze", "silver", "gold", "alert-topic", "runs", "experiment", "format")
+def status(spark, a):
+    """Rows per layer, alerts against transactions, the newest training run."""
+    paths = {"bronze": a.bronze, "silver": a.silver, "gold": a.gold}
+    layers_found = {n: _layer(spark, path, a.format) for n, path in paths.items()}
+    bronze_rows = layers_found["bronze"]
+    if any(rows is not None for rows in layers_found.values()):
+        _show("layers", quality.layer_counts(layers_found))
+    if bronze_rows is not None:
+        _show("topics", quality.topic_depth(bronze_rows))
+    alerts = _layer(spark, a.alert_topic, "parquet")
+    if bronze_rows is not None and alerts is not None:
+        counts = [df.agg(F.count(F.lit(1)).alias("n")) for df in (bronze_rows, alerts)]
+        _show("alert rate", quality.alert_rate(*counts))
+    if a.runs:
+        _show("newest run", runs.latest_run(spark, a.runs, a.experiment))
+
+
+def _layer(spark, path: str | None, fmt: str) -> DataFrame | None:
+    if not path:
+        return None
+    version = tables.current_version(spark, path) if fmt != "delta" else None
+    return tables.read_table_or_none(spark, version or path, fmt)
+
+
 def main(arguments: list[str] | None = None, spark: SparkSession | None = None) -> None:
     parser = argparse.ArgumentParser(prog="fraudlens")
     commands = parser.add_subparsers(dest="job", required=True)

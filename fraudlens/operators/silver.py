@@ -95,6 +95,13 @@ def scorable(messages: DataFrame) -> DataFrame:
     return messages.filter(F.col("event_time").isNotNull() & F.col("country").isNotNull())
 
 
+def wide_scorable() -> Column:
+    """What the wide scorer accepts: rows with an id, an amount and a readable time."""
+    return (
+        F.col("row_id").isNotNull() & F.col("Amount").isNotNull() & F.col("event_time").isNotNull()
+    )
+
+
 def reject_counts(decoded: DataFrame, checks: list[tuple[str, Column]]) -> DataFrame:
     """Rows per first failing check, valid rows as ``accepted``."""
     reason = F.lit("accepted")

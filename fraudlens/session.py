@@ -61,6 +61,11 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{_staging_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder)
+
+
 def drop_staged(spark: SparkSession) -> None:
     """Delete what this application staged; frames that read it must not be used any more."""
     folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_staging_dir(spark))

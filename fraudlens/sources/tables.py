@@ -33,33 +33,47 @@ def read_table_or_none(spark: SparkSession, path: str, fmt: str = "parquet") ->
         raise
 
 
-def replace_table(df: DataFrame, path: str, fmt: str = "parquet") -> str:
+def replace_table(
+    df: DataFrame, path: str, fmt: str = "parquet", keep: int | None = None
+) -> str:
     """Replace a table (S7) and return the path written.
 
     Formats with transactions overwrite in place.  Plain files go to a new version folder, so
     readers of the old version are not disturbed and ``df`` may read the table it replaces.
+    With ``keep`` only so many newest finished versions stay; readers of older ones must be done.
     """
+    if keep is not None and keep < 1:
+        raise ValueError("keep at least one version")
     if fmt == "delta":
         df.write.format(fmt).mode("overwrite").save(path)
         return path
     target = f"{path}/{_VERSION}{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
     df.write.format(fmt).save(target)
+    if keep is not None:
+        fs, versions = _versions(df.sparkSession, path)
+        for old in sorted(versions, key=lambda v: v.toString())[:-keep]:
+            fs.delete(old, True)
     return target
 
 
-def current_version(spark: SparkSession, path: str) -> str | None:
-    """Path of the newest finished version under ``path``, or None."""
+def _versions(spark: SparkSession, path: str) -> tuple:
+    """The file system of ``path`` and its finished versions."""
     jvm = spark.sparkContext._jvm
     folder = jvm.org.apache.hadoop.fs.Path(path)
     fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     if not fs.exists(folder):
-        return None
-    versions = [
+        return fs, []
+    return fs, [
         entry.getPath()
         for entry in fs.listStatus(folder)
         if entry.getPath().getName().startswith(_VERSION)
         and fs.exists(jvm.org.apache.hadoop.fs.Path(entry.getPath(), "_SUCCESS"))
     ]
+
+
+def current_version(spark: SparkSession, path: str) -> str | None:
+    """Path of the newest finished version under ``path``, or None."""
+    _, versions = _versions(spark, path)
     return max((v.toString() for v in versions), default=None)
 
 
@@ -71,6 +85,11 @@ def read_current(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFr
     return None if version is None else read_table(spark, version, fmt)
 
 
+def read_latest(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
+    """The newest version of a versioned table, or a plain table as it is."""
+    return read_table(spark, current_version(spark, path) or path, fmt)
+
+
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """A headered CSV with an explicit schema."""
     return spark.read.csv(path, schema=schema, header=True, mode="FAILFAST")

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamReader, StreamingQuery
 from pyspark.sql import types as T
 
 from fraudlens.schemas import TOPIC_RECORD
+from fraudlens.session import exists
 
 INTAKE_CAP = 50_000
 INTAKE_BYTES = 1 << 30
@@ -21,12 +23,14 @@ def read_topic(
     starting: str = "earliest",
     cap: int | None = None,
     schema: T.StructType = TOPIC_RECORD,
+    checkpoint: str | None = None,
 ) -> DataFrame:
     """Topic records as a stream.
 
     ``kafka`` subscribes to ``topic`` from the ``starting`` offsets with at most ``cap`` records
     per trigger.  A file format streams the files of ``path``, at most ``cap`` files per trigger or,
-    without ``cap``, about 1 GiB of files.
+    without ``cap``, about 1 GiB of files.  There ``latest`` means files written after the first
+    start of the stream, which is kept beside its ``checkpoint``.
     """
     reader = spark.readStream.format(fmt)
     if fmt == "kafka":
@@ -37,7 +41,22 @@ def read_topic(
             .option("maxOffsetsPerTrigger", cap or INTAKE_CAP)
             .load()
         )
-    return _capped(reader, cap).schema(schema).load(path)
+    records = _capped(reader, cap).schema(schema).load(path)
+    if starting != "latest":
+        return records
+    if checkpoint is None:
+        raise ValueError("starting at latest needs the checkpoint the first start is kept beside")
+    since = F.timestamp_millis(F.lit(_first_start(spark, checkpoint)))
+    return records.filter(F.col("_metadata.file_modification_time") > since)
+
+
+def _first_start(spark: SparkSession, checkpoint: str) -> int:
+    """Milliseconds of the clock when a stream was first started."""
+    path = f"{checkpoint.rstrip('/')}-started"
+    if not exists(spark, f"{path}/_SUCCESS"):
+        now = F.unix_millis(F.current_timestamp()).alias("started")
+        spark.range(1).select(now).write.mode("overwrite").parquet(path)
+    return spark.read.schema("started bigint").parquet(path).first().started
 
 
 def _capped(reader: DataStreamReader, files: int | None) -> DataStreamReader:

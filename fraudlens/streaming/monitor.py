@@ -8,9 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from fraudlens.operators.alerts import to_messages, wide_alerts
+from fraudlens.operators.alerts import card_alerts, to_messages, wide_alerts
 from fraudlens.operators.evaluate import confusion_aggregates
 from fraudlens.schemas import DEFAULT_THRESHOLD
+from fraudlens.session import exists
 
 
 def _trigger(every: str | None) -> dict:
@@ -70,7 +71,7 @@ def _save_beat(batch: DataFrame, epoch: int, run_id: int, path: str, threshold:
     spark = batch.sparkSession
     before = dict.fromkeys(_COUNTERS, 0)
     last = f"{path}/run={run_id}/epoch={epoch - 1}"
-    if epoch > 0 and _exists(spark, last):
+    if epoch > 0 and exists(spark, last):
         before = spark.read.parquet(last).first().asDict()
     cells = confusion_aggregates(F.col("is_fraud"), F.col("score"), threshold)
     now = {"processed": F.count(F.lit(1))} | cells
@@ -86,11 +87,6 @@ def _save_beat(batch: DataFrame, epoch: int, run_id: int, path: str, threshold:
     return _as_messages(spark.read.schema(row.schema).parquet(target))
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder)
-
-
 def _as_messages(beats: DataFrame) -> DataFrame:
     return beats.filter("n > 0").select(
         F.lit("stats").alias("type"), "run_id", "ts", *_COUNTERS, "lat_win"
@@ -146,6 +142,29 @@ def publish_run(
     return stream.trigger(**_trigger(every)).start()
 
 
+def publish_cards(
+    scored: DataFrame,
+    run_id: int,
+    send: Callable[[DataFrame, int], None],
+    beats: str,
+    checkpoint: str,
+    threshold: float = DEFAULT_THRESHOLD,
+    every: str | None = "2 seconds",
+) -> StreamingQuery:
+    """Send the alerts of a card run as messages and keep its running counters below ``beats``."""
+
+    def save(batch: DataFrame, epoch: int) -> None:
+        batch = batch.persist()
+        try:
+            _save_beat(batch, epoch, run_id, beats, threshold)
+            send(to_messages(card_alerts(batch, threshold), "card_id"), epoch)
+        finally:
+            batch.unpersist()
+
+    stream = scored.writeStream.foreachBatch(save).option("checkpointLocation", checkpoint)
+    return stream.trigger(**_trigger(every)).start()
+
+
 def send_to_folder(path: str, run_id: int) -> Callable[[DataFrame, int], None]:
     """Messages into one folder per run and micro-batch; a repeated micro-batch replaces its own."""
     return lambda messages, epoch: messages.write.mode("overwrite").parquet(

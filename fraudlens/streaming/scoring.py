@@ -35,10 +35,20 @@ def score_cards(bronze: DataFrame, model: PipelineModel, state: str = "group") -
 
 
 def score_wide(bronze: DataFrame, model: PipelineModel) -> DataFrame:
-    """Bronze wide messages to scored rows with latency; there is no state."""
+    """Bronze wide messages to scored rows with latency; there is no state.
+
+    Messages without id, amount or readable time are left out; the progress of the stream reports
+    their number as the observed metric ``messages.rejected``.
+    """
     rows = silver.decode(bronze, WIDE_TX)
     rows = rows.withColumn("event_time", iso_to_timestamp(F.col("event_time")))
-    return with_latency(score(rows, model))
+    accepted = silver.wide_scorable()
+    rows = rows.observe(
+        "messages",
+        F.count(F.lit(1)).alias("read"),
+        F.count(F.when(~accepted, F.lit(1))).alias("rejected"),
+    )
+    return with_latency(score(rows.filter(accepted), model))
 
 
 def live_card_alerts(

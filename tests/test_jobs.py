@@ -34,6 +34,19 @@ def test_card_jobs(spark, sf_dir, paths, capsys, monkeypatch):
         "--alert-topic", paths["alerts"], "--checkpoint", c[2],
     )
     run(spark, "alert-report", "--in", paths["alerts"])
+    beats, sent, checkpoint = (new_path(spark, n) for n in ("beats", "sent", "checkpoint"))
+    run(
+        spark, "score-cards", "--topic", paths["topic"], "--model", paths["model"], "--run-id", 4,
+        "--alert-topic", sent, "--out", beats, "--checkpoint", checkpoint,
+    )
+    assert spark.read.parquet(sent).count() == spark.read.parquet(paths["alerts"]).count()
+    counted = spark.read.parquet(beats).first()
+    assert counted.processed == 995 and counted.run_id == 4
+    run(spark, "alert-report", "--in", sent, "--country", "FR", "MA", "--merchant", "click")
+    run(
+        spark, "status", "--bronze", paths["bronze"], "--silver", paths["silver"], "--gold", paths["gold"],
+        "--alert-topic", sent, "--runs", paths["runs"],
+    )
     assert spark.read.parquet(paths["bronze"]).count() == 1000
     assert tables.read_current(spark, paths["gold"]).count() == 995
     assert spark.read.parquet(paths["alerts"]).count() > 0

@@ -104,6 +104,15 @@ def test_live_and_batch_scores_agree(spark, sf_dir, gold, card_model):
     assert live.filter("latency_ms > 0").count() == live.count()
 
 
+def test_unreadable_wide_messages_are_not_scored(spark, sf_dir):
+    wide = views.wide_tx(spark, sf_dir)
+    model = models.train_wide(wide, maxIter=1)
+    records = views.wide_topic(spark, sf_dir)
+    bad = records.limit(3).withColumn("value", F.lit("no json").cast("binary"))
+    scored = scoring.score_wide(envelope(records.unionByName(bad)), model)
+    assert scored.count() == records.count()
+
+
 def test_wide_scoring_is_stateless(spark, sf_dir):
     wide = views.wide_tx(spark, sf_dir)
     model = models.train_wide(wide, maxIter=2)

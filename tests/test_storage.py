@@ -1,10 +1,11 @@
+import time
 from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
 
 from fraudlens.session import new_path, shared_dir, stage
-from fraudlens.sources import runs, tables
+from fraudlens.sources import runs, tables, topics
 
 
 def test_replacement_may_read_the_table_it_replaces(spark):
@@ -96,6 +97,40 @@ def test_rows_of_a_file_are_numbered_in_file_order(spark, tmp_path):
         spark.conf.set("spark.sql.files.maxPartitionBytes", size)
 
 
+def test_only_the_newest_versions_stay(spark, tmp_path):
+    path = str(tmp_path / "t")
+    for n in range(1, 5):
+        tables.replace_table(spark.range(n), path, keep=2)
+    assert len(list((tmp_path / "t").iterdir())) == 2
+    assert tables.read_latest(spark, path).count() == 4
+    spark.range(7).write.parquet(str(tmp_path / "plain"))
+    assert tables.read_latest(spark, str(tmp_path / "plain")).count() == 7
+    with pytest.raises(ValueError, match="at least one"):
+        tables.replace_table(spark.range(1), path, keep=0)
+
+
+def test_latest_skips_files_written_before_the_first_start(spark, tmp_path):
+    topic, out, checkpoint = (str(tmp_path / n) for n in ("topic", "out", "checkpoint"))
+    schema = spark.range(1).schema
+
+    def drain():
+        stream = topics.read_topic(
+            spark, path=topic, starting="latest", schema=schema, checkpoint=checkpoint
+        )
+        topics.drain(topics.append_stream(stream, out, checkpoint))
+
+    spark.range(5).write.mode("append").parquet(topic)
+    time.sleep(1.1)  # file systems may keep whole seconds
+    drain()
+    time.sleep(1.1)
+    for low in (10, 20):  # also what came while the stream was down is read after a restart
+        spark.range(low, low + 2).write.mode("append").parquet(topic)
+    drain()
+    assert {r.id for r in spark.read.parquet(out).collect()} == {10, 11, 20, 21}
+    with pytest.raises(ValueError, match="checkpoint"):
+        topics.read_topic(spark, path=topic, starting="latest", schema=schema)
+
+
 def test_staged_tables_can_be_dropped(spark, monkeypatch, tmp_path):
     import os
 
