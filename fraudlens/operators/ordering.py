@@ -123,15 +123,23 @@ def _key_before(keys: Sequence[str], bound: Sequence) -> Column:
 
 def _scale(df: DataFrame, key: str) -> tuple[Column, Callable[[int], Column]]:
     """The key as a bigint of the same order, and the literal of the key for such a bigint."""
-    if isinstance(df.schema[key].dataType, T.TimestampType):
+    kind = df.schema[key].dataType
+    if isinstance(kind, T.TimestampType):
         return F.unix_micros(key), lambda value: F.timestamp_micros(F.lit(value))
-    return F.col(key).cast("bigint"), F.lit
+    if isinstance(kind, T.IntegralType):
+        return F.col(key).cast("bigint"), F.lit
+    raise TypeError(f"the first order key must be an integer or a timestamp, {key} is {kind.simpleString()}")
 
 
 def _extent(df: DataFrame, key: str) -> tuple[int, int, int]:
     """Smallest and largest key as bigints, and the number of rows."""
     value, _ = _scale(df, key)
-    return tuple(df.agg(F.min(value), F.max(value), F.count(F.lit(1))).first())
+    low, high, rows, known = df.agg(
+        F.min(value), F.max(value), F.count(F.lit(1)), F.count(value)
+    ).first()
+    if known < rows:
+        raise ValueError(f"{rows - known} rows have no {key}; leave them out or give them one")
+    return low, high, rows
 
 
 def keys_at(
@@ -142,7 +150,8 @@ def keys_at(
 ) -> list[tuple | None]:
     """The order keys of the rows at 0-based ranks, None beyond the end.
 
-    The first key is an integer or a timestamp, without NULLs; later keys break its ties.  Ranks
+    The first key is an integer or a timestamp, without NULLs (both are checked); later keys
+    break its ties.  Ranks
     are closed in on by histograms of the first key, with filters a file scan can use, so only a
     last small bin is sorted.
     """

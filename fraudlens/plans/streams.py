@@ -68,14 +68,18 @@ def land_card_topic(spark: SparkSession, sf: str, offsets: bool) -> str:
 
 @query(
     "stream_bronze",
-    """SELECT card_id AS key, transaction_id, 'transactions' AS topic, part AS partition,
-      offs AS "offset", event_time AS kafka_timestamp FROM tx_raw""",
+    """SELECT card_id AS key, transaction_id, amount, merchant_category, country, home_country, is_fraud,
+      'transactions' AS topic, part AS partition, offs AS "offset", event_time AS kafka_timestamp
+    FROM tx_raw""",
     views=("tx_raw",),
 )
 def stream_bronze(spark, sf):
+    """The envelope, and what the text of the value holds."""
     bronze = spark.read.schema(ENVELOPE).parquet(land_card_topic(spark, sf, offsets=True))
-    transaction = F.get_json_object("value", "$.transaction_id").alias("transaction_id")
-    return bronze.select("key", transaction, "topic", "partition", "offset", "kafka_timestamp")
+    kinds = {"amount": "double", "is_fraud": "int"}
+    names = ("transaction_id", "amount", "merchant_category", "country", "home_country", "is_fraud")
+    told = [F.get_json_object("value", f"$.{n}").cast(kinds.get(n, "string")).alias(n) for n in names]
+    return bronze.select("key", *told, "topic", "partition", "offset", "kafka_timestamp")
 
 
 @query("stream_silver", "SELECT * FROM silver", views=("silver",))

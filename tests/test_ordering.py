@@ -131,3 +131,12 @@ def test_last_rows_take_unknown_times_last(spark, n):
     df = spark.createDataFrame(rows, "id long, t long")
     want = sorted(rows, key=lambda r: (r[1] is not None, r[1] or 0, r[0]))[max(0, 8 - n) :]
     assert {r.id for r in ordering.last_rows(df, ["t", "id"], n).collect()} == {r[0] for r in want[:n]}
+
+
+def test_unsupported_order_keys_are_refused(spark):
+    rows = spark.createDataFrame([(1.5, 1), (2.5, 2)], "k double, n int")
+    with pytest.raises(TypeError, match="integer or a timestamp"):
+        ordering.keys_at(rows, ["k"], [0])
+    rows = spark.createDataFrame([(1, 1), (None, 2)], "k bigint, n int")
+    with pytest.raises(ValueError, match="1 rows have no k"):
+        ordering.chronological_split(rows, ["k"], [(0.5, "a"), (1.0, "b")])
