@@ -35,7 +35,8 @@ def in_steps(rows: DataFrame, path: str) -> Iterator[int]:
     staged = new_path(spark, "steps")
     rows.write.partitionBy("step").parquet(staged)
     split = spark.read.schema(rows.schema).parquet(staged)
-    for (step,) in sorted(map(tuple, split.select("step").distinct().collect())):  # four at most
+    steps = sorted(r.step for r in split.select("step").distinct().collect())  # four at most
+    for step in steps or [0]:
         split.filter(F.col("step") == step).drop("step").write.mode("append").parquet(path)
         yield step
 
@@ -46,9 +47,13 @@ def drained(
     """Send rows in their steps through a stream into a new table, and read the table."""
     spark = rows.sparkSession
     source, path, checkpoint = (new_path(spark, f"{name}{end}") for end in ("-in", "", "-checkpoint"))
+    running = None
     for _ in in_steps(rows, source):
-        stream = transform(uncapped(spark, source, rows.drop("step").schema))
-        topics.drain(topics.append_stream(stream, path, checkpoint))
+        if running is None:
+            stream = transform(uncapped(spark, source, rows.drop("step").schema))
+            running = topics.append_stream(stream, path, checkpoint, every="0 seconds")
+        running.processAllAvailable()  # raises what the stream failed with
+    running.stop()
     return spark.read.schema(stream.schema).parquet(path)
 
 
