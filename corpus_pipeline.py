@@ -32,8 +32,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without later copies of passages of 400 bytes or more."""
-    return suffix_dedup.drop_later_copies(docs)
+    """Texts without later copies of passages of over 50 words, of 200 bytes at least, or of 400 bytes."""
+    return suffix_dedup.drop_later_copies(docs, 200, words=51)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -416,9 +416,10 @@ def _with_spans(docs: DataFrame, more: tuple[str, ...], length: int, keep_first:
     return _join_documents(_id_columns(docs, *more), grouped, "left")
 
 
-def drop_later_copies(docs: DataFrame, length: int = 400, **limits: int) -> DataFrame:
+def drop_later_copies(docs: DataFrame, length: int = 400, words: int = 0, **limits: int) -> DataFrame:
     """``docs`` with every later copy of a repeated passage cut out of ``text``, the first one kept.
 
+    Passages of fewer than ``words`` words stay, unless they have 400 bytes (texts without white space).
     Cuts keep characters whole. ``n_chars``, where there is such a column, is counted again for texts that change;
     documents of which nothing is left are dropped. Columns and other cases as in ``remove_repeats``.
     """
@@ -432,6 +433,8 @@ def drop_later_copies(docs: DataFrame, length: int = 400, **limits: int) -> Data
             for text, entries in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 data, kept, at = (text or "").encode(), [], 0
                 for a, b in _spans(entries, length, 2):
+                    if b - a < 400 and len(data[a:b].split()) < words:
+                        continue
                     a, b = _whole_characters(data, a, b)
                     kept.append(data[at:a])
                     at = b

@@ -77,6 +77,39 @@ def test_stages(spark, tables):
     assert rows_of(corpus_pipeline.run(spark, tables).select("doc_id", "start", "length", "ids_crc32"))
 
 
+_WORDS = {
+    "en": "the harbour keeps an old light that every ship can see from far out on calm water",
+    "fr": "le marché ouvre très tôt et les fermiers y vendent des légumes frais près du vieux pont",
+    "de": "die Bäckerei öffnet früh und jeder Gast trägt süßes Brot über den großen Platz heim",
+    "es": "el niño compró pan en la panadería más antigua y volvió después con su pequeña mochila",
+}
+
+
+def test_passages_of_over_fifty_words(spark):
+    """Copies of 51 to 60 words go, in all languages; 45 shared words and texts of their own stay."""
+
+    def prose(lang, n):
+        return " ".join(rng.choice(_WORDS[lang].split(), n))
+
+    rng = np.random.default_rng(3)
+    rows, want = [], {}
+    for lang in _WORDS:
+        for n in (45, 51, 55, 60):
+            shared = prose(lang, n)
+            assert 200 <= len(shared.encode()) < 400
+            for copy in range(3):
+                before, after = f"{prose(lang, 60)} <{copy}", f"{copy}> {prose(lang, 60)}"
+                text = f"{before} {shared} {after}"
+                want[len(rows)] = text if n < 51 or copy == 0 else before + after
+                rows.append((len(rows), text, lang, "s", len(text)))
+        text = prose(lang, 300)
+        want[len(rows)] = text
+        rows.append((len(rows), text, lang, "s", len(text)))
+    out = corpus_pipeline.repeated_passages(spark, spark.createDataFrame(rows, plain.DOCS).repartition(5), "").collect()
+    assert {r.doc_id: r.text for r in out} == want
+    assert all(r.n_chars == len(r.text) for r in out)
+
+
 def test_empty_tables(spark, tmp_path):
     folder = str(tmp_path)
     plain.empty_docs(spark).write.parquet(f"{folder}/documents.parquet")
