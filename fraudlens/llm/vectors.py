@@ -27,11 +27,13 @@ def distinct_vectors(rows: DataFrame, ids: int) -> DataFrame:
     """(gid, ids, vec): each different vector once, with its smallest ``ids`` ids; gid is the smallest.
 
     Only the smallest ids of equal vectors can be among a query's nearest, so a vector that fills a third of the
-    table becomes one row; what exceeds ``ids`` is left out before the shuffle.
+    table becomes one row; what exceeds ``ids`` is left out before the shuffle. Rows equal in id and vector are
+    made one first, else copies would take the places of other ids.
     """
     window = Window.partitionBy("vec").orderBy("id")
-    first = rows.withColumn("_n", F.row_number().over(window)).filter(F.col("_n") <= 2 * ids)
-    groups = first.groupBy("vec").agg(F.slice(F.array_sort(F.collect_set("id")), 1, ids).alias("ids"))
+    once = rows.select("id", "vec").distinct()
+    first = once.withColumn("_n", F.row_number().over(window)).filter(F.col("_n") <= ids)
+    groups = first.groupBy("vec").agg(F.array_sort(F.collect_list("id")).alias("ids"))
     return groups.select(F.col("ids")[0].alias("gid"), "ids", "vec")
 
 

@@ -71,6 +71,19 @@ def test_large_integers_are_exact(spark):
     assert sorted(tuple(r) for r in kdtree.top_k(df, every(10), shard_rows=20).collect()) == want
 
 
+def test_a_repeated_row_takes_no_places(spark):
+    """One (id, vector) stands 20 times beside other ids with the same vector."""
+    rng = np.random.default_rng(8)
+    rows = [(0, [3.0, 1.0, 2.0])] * 20 + [(i, [3.0, 1.0, 2.0]) for i in range(1, 9)]
+    rows += [(10 + i, [float(x) for x in rng.normal(size=3)]) for i in range(40)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    distinct = usable(df.collect(), True)
+    got = sorted(tuple(r) for r in kdtree.top_k(df, every(4)).collect())
+    assert got == plain_top(distinct, 4, 5, inner)
+    near = sorted((r.query_id, r["rank"], r.vec_id) for r in ann.nearest(df, every(4)).collect())
+    assert [x for x in near if x[0] in (0, 4)] == [(0, r, r) for r in range(1, 6)] + list(zip([4] * 5, range(1, 6), [0, 1, 2, 3, 5]))
+
+
 def test_top_k_whole_table(spark, sf_dir):
     got = QUERIES["op7_kd_tree_top_k"](spark, sf_dir).toPandas()
     assert differences(got, connect(sf_dir).execute(CHECKS["op7_kd_tree_top_k"]).df()) is None
