@@ -59,13 +59,14 @@ class Hashes:
 
         If a neighbour has cosine c, its a.p is normal around c * a.q with variance 1 - c * c. So each cell of a
         function has a probability, a bucket has their product, and buckets are visited from the likeliest
-        on until a table's sum reaches ``success`` (or ``most`` are taken).
+        on until a table's sum reaches ``success`` (or ``most`` are taken). Only the ``_LIST`` likeliest are known;
+        a row that needs more in some table gets none at all, unless ``most`` is given.
         """
         at, b = self.project(v)
         spread = np.sqrt(np.maximum(1 - cosine**2, 1e-6))
         out = []
         for i in range(len(v)):
-            names = []
+            names: list[np.ndarray] = []
             for t in range(self.tables):
                 chance, cells = np.ones(1), np.zeros((1, 0), np.int64)
                 for j in range(self.functions):
@@ -78,6 +79,9 @@ class Hashes:
                     chance = both[best]
                     cells = np.column_stack((cells[best // len(p)], first + best % len(p)))
                 n = int(np.searchsorted(np.cumsum(chance), success)) + 1
+                if most is None and n > len(cells):
+                    names = [np.zeros(0, np.int64)]
+                    break
                 cells = cells[: min(n, most or n)]
                 names.append(self.name(cells, np.full(len(cells), t), v.shape[1]))
             out.append(np.concatenate(names))
@@ -180,8 +184,9 @@ def nearest(
     vectors, so a bucket has about ``bucket_rows``. Queries first visit their four likeliest buckets a table. The
     worst of the ``k`` cosines found there is at most that of the true ones, so for it buckets are visited
     until a neighbour is met in some table with probability ``success``. All rows of a visited bucket are compared by
-    exact cosine. Buckets of more than ``most`` rows are split over blocks that all get the query. Queries that still
-    have too few results are put to all rows. Nothing is fitted on a sample.
+    exact cosine. Buckets of more than ``most`` rows are split over blocks that all get the query. Queries for which
+    the known buckets do not reach ``success``, and those that find too few results, are put to all rows. Nothing is
+    fitted on a sample.
 
     Defined cases: ids that are null, and vectors that are null, empty, zero or hold null or non-finite components,
     take no part; only vectors of one length are compared; rows equal in id and vector are one row; a row with
@@ -206,9 +211,10 @@ def nearest(
         asking = asking.withColumn("cosine", F.lit(0.0))
     each = 1 - (1 - success) ** (1 / hashes.tables)
     second = search_blocks(index, to_all(_probed(asking, hashes, each, None)), build, k + 1)
-    found = stage(top(second if found is None else found.unionByName(second), k + 1), "found")
-    few = queries.join(found.groupBy(F.col("query").alias("gid")).count(), "gid", "left")
-    few = few.filter(f"coalesce(count, 0) <= {k}").select("gid").distinct()
+    second = stage(top(second, k + 1), "found")
+    few = queries.join(second.groupBy(F.col("query").alias("gid")).count(), "gid", "left")
+    few = few.filter(f"coalesce(count, 0) <= {k}").select("gid").distinct()  # also those without buckets
+    found = second if found is None else found.unionByName(second)
     if functions and not few.isEmpty():
         blocks = max(1, -(-n // most))
         number = F.pmod(F.xxhash64("gid"), F.lit(blocks)).cast("long")

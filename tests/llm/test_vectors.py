@@ -143,3 +143,20 @@ def test_far_clusters_are_found_by_the_exact_way(spark):
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
     got = ann.nearest(df, F.col("id") == 0, bucket_rows=20).collect()
     assert sorted(r["rank"] for r in got) == [1, 2, 3, 4, 5]
+
+
+def test_recall_where_the_known_buckets_fall_short(spark):
+    """Eight functions: the likeliest 4096 buckets a table are too few, so queries meet all rows."""
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(50_000, 32))
+    hashes = ann.Hashes(4, 8)
+    assert [len(n) for n in hashes.probes(x[:3], np.full(3, 0.3), 0.584)] == [0, 0, 0]
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = ann.nearest(df, every(2500), bucket_rows=1).collect()
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    hits = 0
+    for i in range(0, 50_000, 2500):
+        s = x @ x[i]
+        s[i] = -2
+        hits += len(set(np.argsort(-s)[:5].tolist()) & {r.vec_id for r in got if r.query_id == i})
+    assert len(got) == 100 and hits >= 97
