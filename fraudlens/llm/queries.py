@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fraudlens.llm import ann, chat, kdtree, mixing, packing, quality, simhash, suffix_dedup, token_counts, token_files
+from fraudlens.llm import ann, chat, kdtree, mixing, packing, periodic_runs, quality, simhash, suffix_dedup, token_counts, token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 CHECKS: dict[str, str] = {}
@@ -128,3 +128,10 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Probability and fate of every document under raked source, language and topic weights."""
     mixed = mixing.mix(_table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "topic", "n_tokens", F.round("probability", 6).alias("probability"), "kept")
+
+
+@query("op13_block_convolution_runs")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of words of every document, one in ten of which is made periodic first."""
+    docs = periodic_runs.with_planted_runs(_table(spark, sf_dir, "documents"))
+    return periodic_runs.run_digests(periodic_runs.periodic_runs(docs))
