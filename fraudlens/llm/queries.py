@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fraudlens.llm import ann, chat, kdtree, mixing, packing, periodic_runs, quality, simhash, suffix_dedup, token_counts, token_files
+from fraudlens.llm import ann, chat, kdtree, mixing, packing, periodic_runs, quality, secret_scan, simhash, suffix_dedup, token_counts, token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 CHECKS: dict[str, str] = {}
@@ -130,6 +130,12 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "topic", "n_tokens", F.round("probability", 6).alias("probability"), "kept")
 
 
+@query("op12_confirmed_secrets")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document: by pattern, and by the structure of what they decode to."""
+    return secret_scan.secret_digests(secret_scan.find_secrets(_table(spark, sf_dir, "documents")))
+
+
 @query("op13_block_convolution_runs")
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Periodic runs of words of every document, one in ten of which is made periodic first."""
