@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fraudlens.llm import ann, chat, kdtree, mixing, packing, periodic_runs, quality, secret_scan, simhash, suffix_dedup, token_counts, token_files
+from fraudlens.llm import ann, bond, chat, kdtree, mixing, packing, periodic_runs, quality, secret_scan, simhash, suffix_dedup, token_counts, token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 CHECKS: dict[str, str] = {}
@@ -130,6 +130,16 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "topic", "n_tokens", F.round("probability", 6).alias("probability"), "kept")
 
 
+_MOVED_LABEL = "CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END"
+
+
+@query("op11_bond_hard_negatives", bond.hard_negatives_sql(_MOVED_LABEL, "a.vec_id % 50 = 0"))
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three hard negatives for each of the five positives of every 50th vector."""
+    rows = _table(spark, sf_dir, "embeddings").withColumn("label", F.expr(_MOVED_LABEL))
+    return bond.hard_negatives(rows, _every(50))
+
+
 @query("op12_confirmed_secrets")
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets of every document: by pattern, and by the structure of what they decode to."""

@@ -6,23 +6,33 @@ from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fraudlens.session import stage
 
 
-def usable(vectors: DataFrame, id_column: str, vector_column: str) -> DataFrame:
-    """(id, vec) of the rows that take part: no null id, no vector that is null or holds null or non-finite parts.
-
-    Rows equal in id and vector are one row.
+def usable(vectors: DataFrame, id_column: str, vector_column: str, *more: Column) -> DataFrame:
+    """(id, vec) and ``more`` of the rows that take part: no null id, no vector that is null or holds null or
+    non-finite parts.
     """
     vec = F.col(vector_column).cast("array<double>")
-    rows = vectors.select(F.col(id_column).cast("long").alias("id"), vec.alias("vec"))
+    rows = vectors.select(F.col(id_column).cast("long").alias("id"), vec.alias("vec"), *more)
     finite = F.forall("vec", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     return rows.filter(F.col("id").isNotNull() & F.col("vec").isNotNull() & finite)
 
 
+def scaled(rows: DataFrame, scale: int) -> DataFrame:
+    """``rows`` with the integers ``floor(scale * x)`` in ``vec``.
+
+    All scores of vectors whose squares sum to less than 2^62 fit 64 bits; a larger one ends the job with a message.
+    """
+    times = F.transform("vec", lambda x: F.floor(x * F.lit(float(scale))).cast("long"))
+    squares = F.aggregate("vec", F.lit(0.0), lambda a, x: a + (x * float(scale)) * (x * float(scale)))
+    refused = F.raise_error(F.lit("a vector's components are too large: its scores may not fit 64 bits"))
+    return rows.withColumn("vec", F.when(squares < 2.0**61, times).otherwise(refused.cast("array<bigint>")))
+
+
 def distinct_vectors(rows: DataFrame, ids: int) -> DataFrame:
     """(gid, ids, vec): each different vector once, with its smallest ``ids`` ids; gid is the smallest.
 
