@@ -159,24 +159,29 @@ def _matrix(texts: pa.Array) -> np.ndarray:
 
 
 def train(docs: DataFrame, labels: DataFrame, most_rows: int = 20_000) -> BoostedTrees:
-    """Fit on at most ``most_rows`` labelled documents outside the held-out fifth.
+    """Fit on at most ``most_rows`` rows: labelled documents outside the held-out fifth.
 
-    The bound applies to labels only: the ids that hash lowest are taken, so the sample is the same in every run
-    and their statistics (``most_rows`` x 28 numbers) fit the driver. Labels that are null are left out;
-    a document with several labels counts once for each.
+    The bound is on what is fitted: the labels whose ids hash lowest are taken, one document for each (of rows that
+    repeat a doc_id the text that hashes lowest), so the sample is the same in every run and its statistics
+    (``most_rows`` x 28 numbers) fit the driver. Labels that are null are left out; a document with several labels
+    counts once for each. Other columns of either table are ignored.
     """
     known = labels.filter(F.col("quality").isNotNull() & F.col("doc_id").isNotNull() & ~held_out())
-    sample = known.select(F.col("doc_id").alias("_id"), F.col("quality").cast("double").alias("_y"))
-    sample = sample.orderBy(F.xxhash64("_id"), "_id", "_y").limit(most_rows)
+    known = known.select(F.col("doc_id").alias("_id"), F.col("quality").cast("double").alias("_y"))
+    sample = known.orderBy(F.xxhash64("_id"), "_id", "_y").limit(most_rows)
+    texts = docs.select(F.col("doc_id").alias("_doc"), "text")
+    found = texts.join(F.broadcast(sample.select("_id").distinct()), F.col("_doc") == F.col("_id"), "left_semi")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x = _matrix(batch.column(1))
-            columns = [batch.column(0), *(pa.array(np.ascontiguousarray(c)) for c in x.T)]
-            yield pa.RecordBatch.from_arrays(columns, ["_y", *FEATURES])
-
-    rows = docs.join(F.broadcast(sample), F.col("doc_id") == F.col("_id")).select("_y", "text")
-    table = rows.mapInArrow(run, "_y double, " + _STATISTICS).toPandas()
+            columns = [*batch.columns[:2], *(pa.array(np.ascontiguousarray(c)) for c in _matrix(batch.column(2)).T)]
+            yield pa.RecordBatch.from_arrays(columns, ["_doc", "_text", *FEATURES])
+
+    keyed = found.select("_doc", F.xxhash64("text").alias("_text"), "text")
+    described = keyed.mapInArrow(run, f"_doc {dict(texts.dtypes)['_doc']}, _text long, " + _STATISTICS)
+    numbers = F.struct("_text", *FEATURES)
+    one = described.groupBy("_doc").agg(F.min(numbers).alias("_first"))
+    table = sample.join(one, F.col("_id") == F.col("_doc")).select("_y", "_first.*").drop("_text").toPandas()
     table = table.sort_values(list(table.columns))  # sums must not depend on the order of tasks
     return fit(table[list(FEATURES)].to_numpy(float), table["_y"].to_numpy(float))
 

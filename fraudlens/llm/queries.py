@@ -126,7 +126,7 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_raked_mixing", mixing.mix_sql())
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Probability and fate of every document under raked source, language and topic weights."""
-    mixed = mixing.mix(_table(spark, sf_dir, "documents"))
+    mixed = mixing.mix(_table(spark, sf_dir, "documents"), columns=["doc_id"])
     return mixed.select("doc_id", "topic", "n_tokens", F.round("probability", 6).alias("probability"), "kept")
 
 

@@ -54,6 +54,38 @@ def test_awkward_rows(spark):
     assert mixing.sample(plain.empty_docs(spark)).collect() == []
 
 
+def test_clashing_columns_pass(spark):
+    df = plain.awkward_docs(spark)
+    want = sorted((str(r.doc_id), r.n_tokens, r.kept) for r in mixing.mix(df, cycles=2).collect())
+    for c in ("_source", "_lang", "_topic", "_tokens", "v_source", "v_topic", "tokens", "number", "weight", "c0", "total", "value"):
+        df = df.selectExpr("*", f"'x' AS {c}")
+    mixed = mixing.mix(df, cycles=2)
+    assert mixed.columns == [*df.columns, "topic", "n_tokens", "probability", "kept"]
+    assert sorted((str(r.doc_id), r.n_tokens, r.kept) for r in mixed.collect()) == want
+    assert {r.number for r in mixing.sample(df, cycles=2).collect()} == {"x"}
+
+
+def test_topic_and_tokens_from_columns(spark):
+    rows = [(i, "x", "en", "a", i % 3, "ab"[i % 2]) for i in range(30)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_tokens int, topic string")
+    out = mixing.mix(df, topic="topic", tokens="n_tokens", cycles=2).collect()
+    assert all(r.topic == "ab"[r.doc_id % 2] and r.n_tokens == r.doc_id % 3 for r in out) and len(out) == 30
+
+
+def test_residuals(spark):
+    cells = [("=a", "=en", "=x", 100), ("=a", "=fr", "=x", 50), ("=b", "=en", "=x", 30), ("=b", "=fr", "=x", 80)]
+    cells = spark.createDataFrame(cells, "v_source string, v_lang string, v_topic string, tokens long")
+    shares = {"source": [("=a", 0.5), ("=b", 0.5)], "lang": [("=en", 0.4), ("=fr", 0.6)], "topic": [("=x", 1.0)]}
+    targets = {d: spark.createDataFrame(v, "value string, share double") for d, v in shares.items()}
+    out = mixing.residuals(mixing.rake(cells, targets, 0.5, 12)).collect()
+    assert {(r.dimension, r["value"], round(r.goal, 6)) for r in out} == {
+        ("source", "a", 65), ("source", "b", 65), ("lang", "en", 52), ("lang", "fr", 78), ("topic", "x", 130)
+    }
+    assert all(abs(r.goal - r.reached) < 1e-6 for r in out)
+    far = mixing.residuals(mixing.rake(cells, targets, 1.0, 5)).collect()  # "b" has only 110 of the 130 tokens
+    assert [round(r.goal - r.reached, 6) for r in far if r["value"] == "b"] == [20]
+
+
 @pytest.mark.parametrize("value", ["nowhere", None])
 def test_values_without_target_get_nothing(spark, value):
     df = spark.createDataFrame([(1, "a b", "en", value, 0), (2, "a b", "en", "a", 0)], plain.DOCS)

@@ -74,3 +74,28 @@ def test_sample_bound(spark):
     labels = spark.createDataFrame([(i, i % 2, 0) for i in range(16)], LABELS)
     a, b = (quality.train(df.repartition(n), labels.repartition(n), most_rows=6) for n in (1, 4))
     assert a.base == b.base and (a.leaf == b.leaf).all()
+
+
+def test_what_is_fitted_is_bounded(spark, monkeypatch):
+    """Rows that repeat a labelled doc_id do not widen the sample, in whatever order they come."""
+    seen = []
+    monkeypatch.setattr(quality, "fit", lambda x, y: seen.append((x, y)))
+    rows = [(7, f"text {i} of seven", "en", "a", 0) for i in range(500)] + [(i, f"text {i}", "en", "a", 0) for i in range(30)]
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(30)], LABELS)
+    for n in (1, 5):
+        quality.train(spark.createDataFrame(rows, plain.DOCS).repartition(n), labels, most_rows=10)
+    (x, y), (again, _) = seen
+    assert len(x) == len(y) == 10 and (x == again).all()
+    quality.train(spark.createDataFrame(rows, plain.DOCS), labels)
+    used = sum(not zlib.crc32(str(i).encode()) % 5 == 0 for i in range(30))
+    assert len(seen[2][0]) == used
+
+
+def test_clashing_columns(spark):
+    df = plain.awkward_docs(spark)
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(16)], LABELS)
+    want = quality.train(df, labels)
+    for c in ("_id", "_y", "_doc", "_text", "_first", "quality", "log_bytes"):
+        df = df.selectExpr("*", f"'x' AS {c}")
+    got = quality.train(df, labels.selectExpr("*", "1 AS _id", "2 AS _y", "3 AS _doc", "'t' AS text"))
+    assert got.base == want.base and (got.leaf == want.leaf).all()
