@@ -24,6 +24,7 @@ from fraudlens.session import stage
 GRAM = 64
 _CHUNK = 1 << 21  # bytes of text looked at in one go
 _MOST = 2048  # strings of a region
+_TASK_REGIONS = 8192  # regions put in order by a task, about 5 MB
 _MULTIPLY = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 
 
@@ -325,7 +326,8 @@ def repeated_spans(
     columns = [x.split()[0] for x in _FETCHED.split(", ")]
     order = ["anchor", F.col("doc_id").asc_nulls_first(), "_text_key", "first", "content"]
     usual = fetched.filter(F.col("_classes") <= most).select(*columns)
-    usual = usual.repartition("anchor").sortWithinPartitions(*order)
+    tasks = 1 + fetched.count() // _TASK_REGIONS  # left to itself, Spark merges them by bytes, which say little of the work
+    usual = usual.repartition(tasks, "anchor").sortWithinPartitions(*order)
     states = _sorted_states(usual, length, block)
     hot = fetched.filter(F.col("_classes") > most).select(*columns)
     if not hot.isEmpty():
@@ -372,9 +374,16 @@ def _whole_characters(data: bytes, a: int, b: int) -> tuple[int, int]:
 
 
 def remove_repeats(
-    docs: DataFrame, length: int = 400, keep_first: bool = False, with_bytes: bool = True, **limits: int
+    docs: DataFrame,
+    length: int = 400,
+    keep_first: bool = False,
+    with_bytes: bool = True,
+    with_text: bool = False,
+    **limits: int,
 ) -> DataFrame:
-    """Per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256 and, if asked for, ``kept``, the remaining bytes.
+    """Per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256 and, if asked for, what remains.
+
+    That is ``kept``, the bytes, and ``text``, the same as text, without the remains of characters that were cut.
 
     Texts are UTF-8 bytes; removed is each byte covered by a string of ``length`` bytes that starts anywhere
     else too, in any row; with ``keep_first``, by one that also starts earlier (smaller doc_id, then smaller place).
@@ -386,7 +395,8 @@ def remove_repeats(
     texts under one doc_id are told apart by a hash; an empty table gives no rows; other columns are ignored.
     """
     least = 2 if keep_first else 1
-    schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * with_bytes
+    schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
+    schema += ", kept binary" * with_bytes + ", text string" * with_text
     names = [x.split()[0] for x in schema.split(", ")]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -400,11 +410,12 @@ def remove_repeats(
                     kept.append(data[at:a])
                     at = b
                 left = b"".join([*kept, data[at:]])
-                rows.append((doc_id, len(data), len(data) - len(left), len(spans), hashlib.sha256(left).hexdigest(), left))
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary())
-            columns = zip(*rows) if rows else [()] * 6
-            arrays = [pa.array(c, k) for c, k in zip(columns, kinds)]
-            yield pa.RecordBatch.from_arrays(arrays[: len(names)], names)
+                row = (doc_id, len(data), len(data) - len(left), len(spans), hashlib.sha256(left).hexdigest())
+                rows.append(row + (left,) * with_bytes + (left.decode(errors="ignore"),) * with_text)
+            kinds = {"kept": pa.binary(), "kept_sha256": pa.string(), "text": pa.string()}
+            columns = zip(*rows) if rows else [()] * len(names)
+            arrays = [pa.array(c, kinds.get(n, pa.int64())) for c, n in zip(columns, names)]
+            yield pa.RecordBatch.from_arrays(arrays, names)
 
     joined = _with_spans(docs, (), length, keep_first, limits)
     return joined.select("doc_id", "text", "_all").mapInArrow(run, schema)
