@@ -243,7 +243,7 @@ def score_cards(spark, a):
             scored, run_id, _sender(a, run_id), a.out, a.checkpoint, a.threshold, a.every
         )
     )
-    beats = monitor.read_epochs(spark, a.out).filter(F.col("run_id") == run_id)
+    beats = monitor.read_beats(spark, a.out, run_id).drop("lat_sum", "lat_n")
     _show("counters", evaluate.with_prf(ordering.first_rows(beats, [F.desc("processed")], 1)))
 
 

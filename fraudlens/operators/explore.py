@@ -54,11 +54,16 @@ def describe(
     label: str | None = "is_fraud",
     digits: int = 2,
     quantiles: Sequence[float] = (0.25, 0.5, 0.75),
+    sketch: int | None = None,
 ) -> DataFrame:
     """Count, mean, sample deviation, min, exact quartiles and max, per class or overall.
 
     Quartiles interpolate linearly.  They come from value counts and their running totals, so no
     task ever holds a class.  Rounding is half-even.
+
+    With ``sketch`` (8 to 65,535) quantiles come from mergeable sketches of that size instead, in the pass that
+    counts: nothing is sorted or staged. A quantile is then a value of the column whose rank is off by at most
+    about 2.3 / sketch ** 0.9 of the rows (with 99 % confidence; 0.5 % at 800); values equal to it may lie on both sides.
     """
     group = F.lit("all") if label is None else class_name(F.col(label))
     values = df.select(group.alias("classe"), F.col(value).alias("x")).filter(
@@ -70,7 +75,13 @@ def describe(
         F.stddev_samp("x").alias("std"),
         F.min("x").alias("min"),
         F.max("x").alias("max"),
+        *([F.kll_sketch_agg_double(F.col("x").cast("double"), F.lit(sketch)).alias("sketch")] if sketch else []),
     )
+    if sketch:
+        picked = {f"p{round(q * 100)}": F.kll_sketch_get_quantile_double("sketch", F.lit(float(q))) for q in quantiles}
+        return stats.withColumns(picked).select(
+            "classe", "count", *[F.bround(c, digits).alias(c) for c in ["mean", "std", "min", *picked, "max"]]
+        )
     ranked = running_totals(
         values.groupBy("classe", "x").agg(F.count(F.lit(1)).alias("n")),
         by=["classe"],

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fraudlens.functions.columns import count_if
+from fraudlens.operators.ordering import running_totals
+from fraudlens.session import stage
 
 
 def label_counts(df: DataFrame, label: str = "is_fraud") -> DataFrame:
@@ -94,6 +96,41 @@ def reconcile(manifest: DataFrame, bronze: DataFrame) -> DataFrame:
     )
 
 
+def offset_ranges(bronze: DataFrame) -> DataFrame:
+    """Which offsets are missing and which stand there more than once (J3): a row per range of neighbours.
+
+    ``rows`` is the number of missing offsets, or of surplus rows. Missing are offsets between the lowest and the
+    highest of a partition. Places of offsets are running totals and neighbouring ranges meet by their places, so a
+    partition of any size is split over tasks.
+    """
+    counts = bronze.groupBy("partition", "offset").agg(F.count(F.lit(1)).alias("n"))
+    counts = counts.filter(F.col("offset").isNotNull())
+
+    def islands(offsets: DataFrame) -> DataFrame:
+        placed = running_totals(offsets, ["offset"], {"place": ("sum", F.lit(1))}, by=["partition"])
+        return placed.groupBy("partition", (F.col("offset") - F.col("place")).alias("island")).agg(
+            F.min("offset").alias("first_offset"),
+            F.max("offset").alias("last_offset"),
+            F.min("place").alias("begin"),
+            F.max("place").alias("end"),
+            F.sum(F.col("n") - 1).alias("rows"),
+        )
+
+    present = stage(islands(counts), "offset-islands")
+    before = present.select("partition", (F.col("end") + 1).alias("begin"), (F.col("last_offset") + 1).alias("low"))
+    gaps = present.join(before, ["partition", "begin"]).select(
+        "partition",
+        F.lit("missing").alias("kind"),
+        F.col("low").alias("first_offset"),
+        (F.col("first_offset") - 1).alias("last_offset"),
+        (F.col("first_offset") - F.col("low")).alias("rows"),
+    )
+    repeated = islands(counts.filter("n > 1"))
+    return gaps.unionByName(
+        repeated.select("partition", F.lit("repeated").alias("kind"), "first_offset", "last_offset", "rows")
+    )
+
+
 def topic_depth(bronze: DataFrame) -> DataFrame:
     """Messages per topic from offsets: high minus low, and high only."""
     spans = bronze.groupBy("topic", "partition").agg(

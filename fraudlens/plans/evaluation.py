@@ -188,6 +188,12 @@ def describe_by_class(spark, sf):
     return explore.describe(views.card_tx(spark, sf), "amount")
 
 
+@query("describe_sketched")
+def describe_sketched(spark, sf):
+    """The same with quartiles from sketches; a test holds their ranks against the table."""
+    return explore.describe(views.card_tx(spark, sf), "amount", sketch=800)
+
+
 @query("describe_overall", _describe_sql("'all'", "Amount", "wide"), views=("wide",))
 def describe_overall(spark, sf):
     return explore.describe(views.wide_tx(spark, sf), "Amount", label=None)

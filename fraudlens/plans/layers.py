@@ -193,6 +193,29 @@ def reconcile(spark, sf):
     return quality.reconcile(manifest, bronze(spark, sf, offsets=True))
 
 
+@query(
+    "offset_ranges",
+    """, landed AS (SELECT part, offs, n FROM tx_raw, range(1, 4) c(n)
+      WHERE offs % 97 NOT IN (5, 6, 7) AND (n = 1 OR n = 2 AND offs % 131 IN (0, 1) OR n = 3 AND offs % 262 = 1)),
+    counted AS (SELECT part, offs, count(*) AS n FROM landed GROUP BY part, offs)
+    SELECT part AS partition, 'missing' AS kind, before + 1 AS first_offset, offs - 1 AS last_offset,
+      offs - before - 1 AS "rows"
+    FROM (SELECT part, offs, lag(offs) OVER (PARTITION BY part ORDER BY offs) AS before FROM counted) l
+    WHERE offs > before + 1
+    UNION ALL
+    SELECT part, 'repeated', min(offs), max(offs), CAST(sum(n - 1) AS BIGINT)
+    FROM (SELECT *, offs - row_number() OVER (PARTITION BY part ORDER BY offs) AS island FROM counted WHERE n > 1) i
+    GROUP BY part, island""",
+    views=("tx_raw",),
+)
+def offset_ranges(spark, sf):
+    """Bronze with three offsets in 97 lost and some landed twice or three times."""
+    place = F.col("offset")
+    landed = bronze(spark, sf, offsets=True).filter(~(place % 97).isin(5, 6, 7))
+    again = landed.filter((place % 131).isin(0, 1))
+    return quality.offset_ranges(landed.unionByName(again).unionByName(landed.filter(place % 262 == 1)))
+
+
 @query(
     "topic_depth",
     """SELECT 'transactions' AS topic, CAST(sum(hi - lo + 1) AS BIGINT) AS depth,

@@ -8,14 +8,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from fraudlens.functions.columns import iso_to_timestamp
 from fraudlens.operators import alerts as al
 from fraudlens.operators import silver
+from fraudlens.plans.dashboards import run_stats
 from fraudlens.plans.layers import rounded
 from fraudlens.plans.registry import query
-from fraudlens.schemas import ENVELOPE, RUN_MESSAGE, TOPIC_RECORD
+from fraudlens.schemas import ENVELOPE, RUN_MESSAGE, TOPIC_RECORD, WIDE_TX
 from fraudlens.session import new_path
 from fraudlens.sources import topics, views
-from fraudlens.streaming import layers, monitor, state
+from fraudlens.streaming import intake, layers, monitor, split, state, view
 
 _WEEKS = ["2024-01-08", "2024-01-16", "2024-01-24"]
 
@@ -113,6 +115,28 @@ def stream_features(spark, sf):
     return rounded(found.select(*columns), "amount_ratio")
 
 
+_FEATURES = ["transaction_id", "n_prev", "amount_ratio", "tx_1h", "sec_since_prev", "is_foreign"]
+
+
+@query(
+    "stream_features_split",
+    """SELECT transaction_id, n_prev, round(amount_ratio, 6) AS amount_ratio, tx_1h, sec_since_prev,
+      is_foreign FROM gold""",
+    views=("gold",),
+)
+def stream_features_split(spark, sf):
+    """The same features with cards split over keys and state that ends."""
+    tx = views.card_tx(spark, sf).select(
+        "transaction_id", "card_id", "amount", "country", "home_country", "event_time"
+    )
+    rows = by_week(tx)
+    source, path, checkpoint = (new_path(spark, n) for n in ("tx", "split-features", "checkpoint"))
+    for _ in in_steps(rows, source):
+        messages = uncapped(spark, source, tx.schema)
+        topics.drain(split.start_features(messages, split.save_to_folder(path), checkpoint))
+    return rounded(spark.read.parquet(path).select(*_FEATURES), "amount_ratio")
+
+
 _SCORED = ["event_time", "is_fraud", "score", "latency_ms"]
 
 
@@ -209,3 +233,105 @@ def stream_dedup(spark, sf):
         return layers.dedupe_stream(rows, "row_id", "event_time", "2 days")
 
     return drained(records, "dedup", deduped)
+
+
+@query(
+    "stream_counters_state",
+    """SELECT (SELECT count(*) FROM tx) AS processed, tp, fp, fn, tn,
+      (SELECT round(avg(latency_ms), 6) FROM tx) AS mean_latency_ms FROM cells""",
+    views=("cells",),
+)
+def stream_counters_state(spark, sf):
+    """Running counters read from the state of a stream that writes nothing."""
+    rows = by_week(views.card_tx(spark, sf).select(*_SCORED))
+    source, checkpoint = new_path(spark, "scored"), new_path(spark, "checkpoint")
+    for _ in in_steps(rows, source):
+        counters = monitor.quality_counters(uncapped(spark, source, rows.drop("step").schema))
+        topics.drain(monitor.run_counters(counters, checkpoint))
+    return monitor.counters_in_state(spark, checkpoint)
+
+
+@query(
+    "stream_dedup_lowest",
+    "SELECT * FROM wide_raw WHERE offs % 2 = 0",
+    views=("wide_raw",),
+)
+def stream_dedup_lowest(spark, sf):
+    """The copy of lowest offset of each wide row, though repeats of every other one come before it.
+
+    A last message, a month on, lets the watermark pass all others.
+    """
+    records = views.wide_topic(spark, sf)
+    early = (F.col("offset") % 2 == 1) & (F.col("offset") % 200 == 1)
+    records = records.withColumn("step", F.when(early, 0).when(F.col("offset") % 2 == 0, 1).otherwise(2))
+    last = views.wide_topic(spark, sf).filter("offset = 0").withColumns({"offset": F.lit(-1).cast("bigint"), "step": F.lit(3)})
+    later = F.lit('{"row_id": -1, "event_time": "2024-03-01T00:00:00.000000Z"}')
+    records = records.unionByName(last.withColumns({"value": later.cast("binary"), "timestamp": F.lit("2024-03-01").cast("timestamp")}))
+
+    def deduped(stream: DataFrame) -> DataFrame:
+        messages = silver.envelope(stream)
+        rows = silver.decode(messages, WIDE_TX, ["partition", "offset"])
+        rows = rows.withColumn("event_time", iso_to_timestamp(F.col("event_time")))
+        return layers.dedupe_lowest(rows, "row_id", "event_time", 2 * 86_400, "2 days")
+
+    return drained(records, "dedup-lowest", deduped).drop("partition").withColumnRenamed("offset", "offs")
+
+
+@query(
+    "stream_alert_series",
+    """, ends AS (SELECT min(time_bucket(INTERVAL 30 SECONDS, event_time)) AS lo,
+      (SELECT date_trunc('millisecond', max(event_time)) - INTERVAL 1 MINUTE FROM tx) AS hi FROM alerts)
+    SELECT bucket, coalesce(n, 0) AS alerts, mean_latency_ms
+    FROM (SELECT unnest(generate_series(lo, hi, INTERVAL 30 SECONDS)) AS bucket, hi FROM ends) b
+    LEFT JOIN (SELECT time_bucket(INTERVAL 30 SECONDS, event_time) AS bucket, count(*) AS n,
+        round(avg(latency_ms), 6) AS mean_latency_ms FROM alerts GROUP BY 1) a USING (bucket)
+    WHERE bucket + INTERVAL 30 SECONDS <= hi""",
+    views=("alerts",),
+)
+def stream_alert_series(spark, sf):
+    """All closed intervals since the first alert, those without alerts filled in by timers."""
+    rows = views.card_tx(spark, sf).select("event_time", "latency_ms", "score")
+    flagged = F.col("score") >= views.ALERT_SCORE
+    return drained(by_week(rows), "series", lambda stream: monitor.filled_alert_windows(stream, flagged))
+
+
+@query(
+    "stream_run_view",
+    """SELECT CAST(run_id AS BIGINT) AS run_id, processed, tp, fp, fn, tn, lat_win, tp + fp AS alerts,
+      round(coalesce(tp / CAST(nullif(tp + fp, 0) AS DOUBLE), 0), 6) AS precision,
+      round(coalesce(tp / CAST(nullif(tp + fn, 0) AS DOUBLE), 0), 6) AS recall,
+      (SELECT string_agg(row_id, ',' ORDER BY row_id DESC) FROM (SELECT event_id AS row_id FROM tx WHERE score >= 0.5
+        AND run_id = (SELECT max(run_id) FROM tx) ORDER BY event_id DESC LIMIT 15) a) AS last_alerts
+    FROM stats WHERE run_id = (SELECT max(run_id) FROM tx) ORDER BY processed DESC LIMIT 1""",
+    views=("stats",),
+)
+def stream_run_view(spark, sf):
+    """The view after the last message of two runs: the second resets it, late messages of the first change nothing."""
+    tx = views.card_tx(spark, sf).withColumnRenamed("event_id", "row_id")
+    raised = tx.filter("score >= 0.5").select(
+        F.lit("alert").alias("type"), F.col("run_id").cast("bigint"), "row_id", F.lit(None).cast("double").alias("ts"),
+        *(F.lit(None).cast("bigint").alias(c) for c in ("processed", "tp", "fp", "fn", "tn")), F.lit(None).cast("double").alias("lat_win"),
+    )
+    stats = run_stats(spark, sf).select("type", "run_id", F.lit(None).cast("bigint").alias("row_id"), "ts", "processed", "tp", "fp", "fn", "tn", "lat_win")
+    messages = raised.unionByName(stats)
+    late = F.coalesce("row_id", "processed") % 10 == 3
+    step = F.when(F.col("run_id") == 1, F.when(late, 3).otherwise(0)).otherwise(1 + F.coalesce("row_id", "processed") % 2)
+    found = drained(messages.withColumn("step", step.cast("int")), "run-view", view.run_view_stream)
+    newest = found.groupBy().agg(F.max_by(F.struct(*found.columns), F.struct("run_id", "processed", F.size("last_alerts"), "last_alerts")).alias("v")).select("v.*")
+    return newest.withColumn("last_alerts", F.array_join(F.transform("last_alerts", lambda m: F.get_json_object(m, "$.row_id")), ","))
+
+
+@query(
+    "stream_retention",
+    "SELECT transaction_id, event_time, score FROM tx WHERE score >= 0.5"
+    " ORDER BY event_time DESC, transaction_id DESC LIMIT 1000",
+    views=("tx",),
+)
+def stream_retention(spark, sf):
+    """The newest thousand alerts, kept by merging each micro-batch; they come in an order that has nothing to do with time."""
+    rows = al.flagged(views.card_tx(spark, sf)).select("transaction_id", "event_time", "score")
+    source, path, checkpoint = (new_path(spark, n) for n in ("alerts", "newest", "checkpoint"))
+    for _ in in_steps(rows.withColumn("step", F.pmod(F.xxhash64("transaction_id"), F.lit(4)).cast("int")), source):
+        stream = uncapped(spark, source, rows.schema)
+        topics.drain(intake.keep_newest(stream, path, checkpoint, lambda df: al.retained_alerts(df, 1000)))
+    return intake.read_newest(spark, path, rows.schema)

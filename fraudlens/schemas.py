@@ -86,6 +86,10 @@ RUN_STATS = _schema(
 RUN_MESSAGE = T.StructType(
     WIDE_ALERT.fields + [f for f in RUN_STATS.fields if f.name not in WIDE_ALERT.names]
 )
+RUN_BEAT = _schema(
+    "run_id bigint, ts double, n bigint, processed bigint, tp bigint, fp bigint, fn bigint, tn bigint, "
+    "lat_win double, lat_sum double, lat_n bigint"
+)
 RAW_CSV = _schema(", ".join(f"{c} double" for c in WIDE_FEATURES) + ", Class int")
 TRAINING_RUN = _schema(
     "experiment string, run_id string, start_time timestamp, params map<string,string>, "
