@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from fraudlens.llm.vectors import Asked, matrix, prepare, ranked, search_blocks, top, usable
+from fraudlens.llm.vectors import Found, Ids, matrix, prepare, ranked, search_blocks, top, usable
 from fraudlens.session import stage
 
 _WIDTH = 1.0
@@ -18,6 +18,11 @@ _BITS = 2.05  # what one hash function of that width tells about a unit vector
 _LIST = 4096  # best buckets that are kept while functions are combined
 
 
+def tamed(v: np.ndarray) -> np.ndarray:
+    """Rows times powers of two, so that squares of their components neither vanish nor overflow; cosines stay."""
+    return np.ldexp(v, -np.frexp(np.abs(v).max(1, initial=0))[1][:, None])
+
+
 class Hashes:
     """``tables`` tables of ``functions`` hashes floor((a.v + b) / width) with normal a, on unit vectors."""
 
@@ -35,6 +40,7 @@ class Hashes:
     def project(self, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(a.v, b) for all rows, tables and functions."""
         a, b = self._made(v.shape[1])
+        v = tamed(v)
         unit = v / np.linalg.norm(v, axis=1, keepdims=True)
         return np.einsum("nd,tfd->ntf", unit, a), b
 
@@ -89,15 +95,16 @@ class Hashes:
 
 
 def _indexed(groups: DataFrame, hashes: Hashes) -> DataFrame:
+    kept = ["gid", "first", "second", "vec"]
+
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in _one_length(batch, "vec"):
                 names = hashes.buckets(matrix(part.column("vec")))
                 for t in range(hashes.tables):
-                    columns = [pa.array(names[:, t]), part.column("gid"), part.column("vec")]
-                    yield pa.RecordBatch.from_arrays(columns, ["block", "id", "vec"])
+                    yield pa.RecordBatch.from_arrays([pa.array(names[:, t]), *part.columns], ["block", *kept])
 
-    return groups.select("gid", "vec").mapInArrow(run, "block long, id long, vec array<double>")
+    return groups.select(*kept).mapInArrow(run, "block long, gid long, first long, second long, vec array<double>")
 
 
 def _one_length(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
@@ -108,7 +115,7 @@ def _one_length(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
 
 
 def _probed(asking: DataFrame, hashes: Hashes, success: float, most: int | None) -> DataFrame:
-    """A row per bucket to visit, from (gid, vec, cosine)."""
+    """A row (block, uid) per bucket to visit, from (uid, vec, cosine)."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -117,13 +124,10 @@ def _probed(asking: DataFrame, hashes: Hashes, success: float, most: int | None)
                     part = whole.slice(first, 256)
                     cosine = np.asarray(part.column("cosine"))
                     names = hashes.probes(matrix(part.column("vec")), cosine, success, most)
-                    row = np.repeat(np.arange(len(names)), [len(n) for n in names])
-                    taken = part.take(pa.array(row))
-                    columns = [pa.array(np.concatenate(names)), taken.column("gid"), taken.column("vec")]
-                    yield pa.RecordBatch.from_arrays(columns, ["block", "id", "vec"])
+                    uid = np.repeat(np.asarray(part.column("uid")), [len(n) for n in names])
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(names)), pa.array(uid)], ["block", "uid"])
 
-    rows = asking.select("gid", "vec", "cosine").mapInArrow(run, "block long, id long, vec array<double>")
-    return rows.withColumn("bound", F.lit(None).cast("double"))
+    return asking.select("uid", "vec", "cosine").mapInArrow(run, "block long, uid long")
 
 
 def _salted(index: DataFrame, most: int):
@@ -132,7 +136,7 @@ def _salted(index: DataFrame, most: int):
     large = stage(sizes.select("block", F.ceil(F.col("_n") / most).cast("int").alias("_parts")), "large-buckets")
     if large.isEmpty():
         return index, lambda probes: probes
-    part = F.pmod(F.xxhash64("id"), F.col("_parts"))
+    part = F.pmod(F.xxhash64("gid"), F.col("_parts"))
     name = lambda number: F.when(F.col("_parts").isNull(), F.col("block")).otherwise(F.xxhash64("block", number))
     dealt = index.join(large, "block", "left").withColumn("block", name(part.cast("int"))).drop("_parts")
 
@@ -145,21 +149,25 @@ def _salted(index: DataFrame, most: int):
 
 
 def _cosines(k: int):
-    def build(ids: np.ndarray, rows: np.ndarray):
-        order = np.argsort(ids)
-        ids, rows = ids[order], rows[order]
+    def build(gids: np.ndarray, ids: Ids, rows: np.ndarray):
+        rows = tamed(rows)
         norms = np.linalg.norm(rows, axis=1)
+        alone = np.flatnonzero(~ids.more)
+        alone = alone[np.argsort(ids.first[alone], kind="stable")]  # by their only id
+        only = ids.first[alone]
 
-        def ask(query: np.ndarray, vec: np.ndarray, bound: np.ndarray) -> Asked:
+        def ask(query: np.ndarray, own: np.ndarray, vec: np.ndarray) -> Found:
             out = []
             for first in range(0, len(query), 512):
-                q = vec[first : first + 512]
+                q, mine = tamed(vec[first : first + 512]), own[first : first + 512]
                 score = (q @ rows.T) / (np.linalg.norm(q, axis=1)[:, None] * norms)
-                n = min(k, len(ids))
-                at = np.argpartition(-score, n - 1, axis=1)[:, :n] if n < len(ids) else np.tile(np.arange(n), (len(q), 1))
-                worst = np.take_along_axis(score, at, 1).min(1, keepdims=True)
-                i, j = np.nonzero(score >= worst)  # all ties of the kth
-                out.append((query[first + i], ids[j], score[i, j]))
+                begin, end = np.searchsorted(only, mine), np.searchsorted(only, mine, "right")
+                for i in np.flatnonzero(end > begin).tolist():
+                    score[i, alone[begin[i] : end[i]]] = -np.inf  # vectors of the query's own id alone
+                n = min(k, len(gids))
+                worst = -np.partition(-score, n - 1, axis=1)[:, n - 1 : n]
+                i, j = np.nonzero((score >= worst) & (score > -np.inf))  # all ties of the kth
+                out.append((query[first + i], gids[j], ids.counting(j, mine[i])[0], score[i, j]))
             return tuple(np.concatenate(c) for c in zip(*out))
 
         return ask
@@ -189,39 +197,40 @@ def nearest(
     fitted on a sample.
 
     Defined cases: ids that are null, and vectors that are null, empty, zero or hold null or non-finite components,
-    take no part; only vectors of one length are compared; rows equal in id and vector are one row; a row with
-    the query's id is no candidate; ties go to smaller ids; fewer than ``k`` candidates are all returned; an
-    empty table gives no rows; other columns are ignored.
+    take no part; components may be as small or large as doubles are; only vectors of one length are compared; rows
+    equal in id and vector are one row; a row with the query's id is no candidate; an id on several vectors is several
+    candidates and one query, whose vectors' results are ranked together; ties go to smaller ids; fewer than ``k``
+    candidates are all returned; an empty table gives no rows; other columns are ignored.
     """
     rows = usable(vectors, id_column, vector_column).filter(F.exists("vec", lambda x: x != 0))
-    groups, asking, queries = prepare(rows, is_query, k)
+    groups, units = prepare(rows, is_query, k)
     n = groups.count()
     functions = max(0, round(math.log2(max(n, 1) / bucket_rows) / _BITS)) if n > 2 * bucket_rows else 0
     hashes = Hashes(tables if functions else 1, functions)
     index, to_all = _salted(stage(_indexed(groups, hashes), "buckets"), most)
-    build = _cosines(k + 1)
+    build = _cosines(k)
     found = None
+    asking = units.select("uid", "vec")
     if functions:
-        probes = _probed(asking.withColumn("cosine", F.lit(0.5)), hashes, 1.0, 4)
-        found = stage(top(search_blocks(index, to_all(probes), build, k + 1), k + 1), "first-found")
-        worst = found.groupBy(F.col("query").alias("gid")).agg(F.min("score").alias("_s"), F.count(F.lit(1)).alias("_n"))
-        cosine = F.when(F.col("_n") > k, F.least(F.greatest("_s", F.lit(0.0)), F.lit(0.999)))
-        asking = asking.join(worst, "gid", "left").withColumn("cosine", F.coalesce(cosine, F.lit(0.0)))
+        probes = stage(to_all(_probed(asking.withColumn("cosine", F.lit(0.5)), hashes, 1.0, 4)), "first-probes")
+        found = stage(top(search_blocks(index, probes, units, build, k), k), "first-found")
+        worst = found.groupBy(F.col("query").alias("uid")).agg(F.min("score").alias("_s"), F.count(F.lit(1)).alias("_n"))
+        cosine = F.when(F.col("_n") >= k, F.least(F.greatest("_s", F.lit(0.0)), F.lit(0.999)))
+        asking = asking.join(worst, "uid", "left").withColumn("cosine", F.coalesce(cosine, F.lit(0.0)))
     else:
         asking = asking.withColumn("cosine", F.lit(0.0))
     each = 1 - (1 - success) ** (1 / hashes.tables)
-    second = search_blocks(index, to_all(_probed(asking, hashes, each, None)), build, k + 1)
-    second = stage(top(second, k + 1), "found")
-    few = queries.join(second.groupBy(F.col("query").alias("gid")).count(), "gid", "left")
-    few = few.filter(f"coalesce(count, 0) <= {k}").select("gid").distinct()  # also those without buckets
+    probes = stage(to_all(_probed(asking, hashes, each, None)), "probes")
+    second = stage(top(search_blocks(index, probes, units, build, k), k), "found")
+    few = units.join(second.groupBy(F.col("query").alias("uid")).count(), "uid", "left")
+    few = few.filter(f"coalesce(count, 0) < {k}").select("uid")  # also those without buckets
     found = second if found is None else found.unionByName(second)
     if functions and not few.isEmpty():
         blocks = max(1, -(-n // most))
         number = F.pmod(F.xxhash64("gid"), F.lit(blocks)).cast("long")
         width = F.size("vec").cast("long") * (1 << 32)
-        all_rows = groups.select((width + number).alias("block"), F.col("gid").alias("id"), "vec")
+        all_rows = groups.withColumn("block", width + number)
         every = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))).alias("_number")
-        left = asking.join(few, "gid").select("gid", "vec", every)
-        left = left.select((width + F.col("_number")).alias("block"), F.col("gid").alias("id"), "vec", F.lit(None).alias("bound"))
-        found = found.unionByName(search_blocks(all_rows, left, build, k + 1))
-    return ranked(found, groups, queries, k)
+        left = units.join(few, "uid").select("uid", "vec", every).select((width + F.col("_number")).alias("block"), "uid")
+        found = found.unionByName(search_blocks(all_rows, stage(left, "all-rows"), units, build, k))
+    return ranked(found, groups, units, k)

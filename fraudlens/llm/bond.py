@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fraudlens.llm.vectors import scaled, usable
+from fraudlens.llm.vectors import dealt, scaled, usable
 from fraudlens.session import stage
 
 _STEPS = (0.25, 0.5, 0.75, 0.875, 1.0)  # parts of the dimensions after which candidates are looked at again
@@ -91,18 +91,11 @@ class Block:
 
 
 def _place(rows: DataFrame, most: int, name: str) -> DataFrame:
-    """``rows(id, label, vec)`` with ``name``: groups of about ``most`` rows of one label, length and octave of length².
-
-    Sizes are counted beforehand and large groups dealt by a hash of the whole row, so a label or a vector that
-    fills a third of the table is many groups.
-    """
+    """``rows(id, label, vec)`` with ``name``: groups of about ``most`` rows of one label, length and half octave of norm."""
     squares = F.aggregate("vec", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double"))
     rows = rows.withColumn("size", F.size("vec")).withColumn("norm", F.sqrt(squares))
     rows = rows.withColumn("band", F.when(F.col("norm") > 0, F.floor(2 * F.log2("norm"))).otherwise(-1))
-    keys = ["label", "size", "band"]
-    parts = rows.groupBy(*keys).agg(F.ceil(F.count(F.lit(1)) / most).alias("parts"))
-    part = F.pmod(F.xxhash64("id", "vec"), F.col("parts"))
-    return rows.join(parts, keys).withColumn(name, F.concat_ws("/", "size", "band", part, "label")).drop("parts", "band")
+    return dealt(rows, ["label", "size", "band"], most, name, "id", "vec").drop("band")
 
 
 def _packed(rows: DataFrame, most: int) -> DataFrame:
@@ -223,8 +216,8 @@ def hard_negatives(
     and one slice at a time, whatever the labels' sizes.
 
     Defined cases: rows with a null id or label, and vectors that are null or hold null or non-finite components, take
-    no part; only vectors of one length are compared, empty ones score 0; rows equal in id, label and vector are
-    one row; if an id stands on several different rows, each that is an anchor is one of its own, and no row of that id
+    no part; only vectors of one length are compared, empty ones score 0; rows equal in id, label and scaled vector
+    are one row; if an id stands on several different rows, each that is an anchor is one of its own, and no row of that id
     is a candidate; ties go to smaller ids; fewer positives or negatives are all returned; vectors so
     large that scores may not fit 64 bits end the job with a message; an empty table gives no rows; other columns
     are ignored.
