@@ -42,8 +42,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of documents in sequences of at most 4096 tokens."""
-    return packing.pack_documents(docs, with_ids=False)
+    """Pieces of documents in sequences of at most 4096 tokens, with their ids."""
+    return packing.pack_documents(docs)
 
 
 STAGES = [

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fraudlens.llm import ann, bond, chat, kdtree, mixing, packing, periodic_runs, quality, secret_scan, simhash, suffix_dedup, token_counts, token_files
+from fraudlens.session import stage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 CHECKS: dict[str, str] = {}
@@ -29,8 +30,8 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 @query("op1_sum_of_squares_packing")
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document's ids in sequences of at most 4096: one row per piece."""
-    return packing.pack_documents(_table(spark, sf_dir, "documents"), with_ids=False)
+    """Every document's ids in sequences of at most 4096: one row per piece, with its ids."""
+    return packing.pack_documents(_table(spark, sf_dir, "documents"))
 
 
 @query("op2_simhash_bk_trees")
@@ -118,9 +119,10 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op9_prefix_token_counts")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Bytes and tokens of every document, and whether it exceeds 512 tokens."""
-    counts = token_counts.prefix_counts(_table(spark, sf_dir, "documents"), with_prefixes=False)
-    return counts.withColumn("over_limit", F.col("n_tokens") > 512)
+    """Bytes and tokens of every document, and whether it exceeds 512 tokens, from the stored counts of its prefixes."""
+    counts = token_counts.prefix_counts(_table(spark, sf_dir, "documents"))
+    answers = token_counts.answer_budgets(stage(counts.select("doc_id", "prefixes"), "prefix-counts"), 512)
+    return answers.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 512).alias("over_limit"), "budget_bytes")
 
 
 @query("op10_raked_mixing", mixing.mix_sql())

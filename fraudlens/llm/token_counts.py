@@ -245,3 +245,21 @@ def count_at(prefixes: bytes, n_bytes: int) -> int:
 def longest_prefix(prefixes: bytes, budget: int) -> int:
     """Bytes of the longest prefix of at most ``budget`` tokens; counts may fall, so the last such byte."""
     return int(np.flatnonzero(stored_counts(prefixes) <= budget)[-1])
+
+
+def answer_budgets(stored: DataFrame, budget: int) -> DataFrame:
+    """From stored ``(doc_id, prefixes)``: doc_id, n_bytes, n_tokens and budget_bytes, without looking at a text.
+
+    ``budget_bytes`` is the length of the longest prefix of at most ``budget`` tokens.
+    """
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for kept in batch.column(1):
+                counts = stored_counts(kept.as_py())
+                rows.append((len(counts) - 1, int(counts[-1]), int(np.flatnonzero(counts <= budget)[-1])))
+            columns = [pa.array(c, pa.int64()) for c in (zip(*rows) if rows else [()] * 3)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], ["doc_id", "n_bytes", "n_tokens", "budget_bytes"])
+
+    return stored.select("doc_id", "prefixes").mapInArrow(run, "doc_id long, n_bytes long, n_tokens long, budget_bytes long")

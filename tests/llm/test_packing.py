@@ -37,7 +37,9 @@ def test_whole_table(spark, sf_dir):
     from fraudlens.llm.queries import QUERIES
 
     docs = {r.doc_id: plain.tokens(r.text) + [2] for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
-    assert check(QUERIES["op1_sum_of_squares_packing"](spark, sf_dir).collect(), docs) == 0
+    rows = QUERIES["op1_sum_of_squares_packing"](spark, sf_dir).collect()
+    assert check(rows, docs) == 0
+    assert all(np.frombuffer(r.ids, "<u4").tolist() == docs[r.doc_id][r.start : r.start + r.length] for r in rows)
 
 
 def test_awkward_rows(spark):

@@ -14,7 +14,11 @@ def test_whole_table(spark, sf_dir):
     got = {r.doc_id: tuple(r)[1:] for r in QUERIES["op9_prefix_token_counts"](spark, sf_dir).collect()}
     for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect():
         n = len(plain.tokens(r.text, FILE))
-        assert got.pop(r.doc_id) == (len(r.text.encode()), n, n > 512)
+        *found, cut = got.pop(r.doc_id)
+        assert found == [len(r.text.encode()), n, n > 512] and (cut == found[0]) == (n <= 512)
+        head = r.text.encode()[:cut].decode(errors="ignore")
+        if len(head.encode()) == cut:
+            assert len(plain.tokens(head, FILE)) == min(n, 512)
     assert not got
 
 
@@ -35,6 +39,8 @@ def test_stored_prefixes_answer_budgets(spark):
     for budget in (0, 1, 7, 50):
         best = max(n for n in range(len(text) + 1) if len(plain.tokens(text[:n], FILE)) <= budget)
         assert token_counts.longest_prefix(kept, budget) == best
+        stored = token_counts.prefix_counts(df).select("doc_id", "prefixes")
+        assert tuple(token_counts.answer_budgets(stored, budget).first()) == (1, len(text), len(plain.tokens(text, FILE)), best)
 
 
 @pytest.mark.parametrize("limit", [250_000, 30])
