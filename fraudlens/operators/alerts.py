@@ -11,6 +11,7 @@ from fraudlens.functions.columns import class_name, count_if, flag
 from fraudlens.operators.evaluate import confusion_aggregates, with_prf
 from fraudlens.operators.ordering import first_rows, last_rows, running_totals
 from fraudlens.schemas import COORDINATES, COUNTRIES, DEFAULT_THRESHOLD
+from fraudlens.session import stage
 
 KEPT_CARD_ALERTS = 5000
 KEPT_RUN_ALERTS = 2000
@@ -211,6 +212,7 @@ def interval_series(alerts: DataFrame, seconds: int = 30) -> DataFrame:
         alerts.groupBy(F.window("event_time", step).start.alias("bucket"))
         .agg(F.count(F.lit(1)).alias("alerts"), F.avg("latency_ms").alias("mean_latency_ms"))
     )
+    found = stage(found, "intervals")  # one row per interval with alerts, read for the ends and for the join
     # One row per day first, dealt over tasks, then the intervals of each day: no array and no
     # task spans the whole series.
     ends = found.agg(F.min("bucket").alias("lo"), F.max("bucket").alias("hi"))

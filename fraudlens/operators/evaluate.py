@@ -81,7 +81,7 @@ def precision_recall_points(
         order=[F.desc("threshold")],
         totals={"tp": ("sum", F.col("pos")), "flagged": ("sum", F.col("n"))},
     )
-    positives = points.agg(F.max("tp")).scalar()
+    positives = per_score.agg(F.sum("pos")).scalar()
     return points.select(
         "threshold",
         "pos",

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -159,24 +158,32 @@ def label_correlation(
 
 
 def stratified_sample(
-    df: DataFrame, key: str, n: int, seed: int = 1, label: str = "is_fraud"
+    df: DataFrame,
+    key: str,
+    n: int,
+    seed: int = 1,
+    label: str = "is_fraud",
+    fraction: float | None = None,
 ) -> DataFrame:
     """All positives and ``n`` negatives chosen by a seeded hash of the key.
 
-    The hash is a total order, so the sample does not depend on the partitioning.  A cut on the
-    hash leaves little more than ``n`` candidates before the final order; it is dropped if it left
-    too few.
+    The hash is a total order, so the sample does not depend on the partitioning.  One pass counts negatives by the
+    first three digits of their hashes (4,096 numbers); the cut made from them leaves at least ``n`` and about
+    total / 4,096 more before the final order.
+
+    With ``fraction`` each negative is drawn by itself with that probability instead: one pass, nothing is counted or
+    sorted, and the number of negatives varies.
     """
+    if fraction is not None:
+        return df.sampleBy(label, {0: fraction, 1: 1.0}, seed)
     hash_ = F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")))
     positives = df.filter(F.col(label) == 1)
     negatives = df.filter(F.col(label) == 0).withColumn("_h", hash_)
-    total = negatives.count()
-    if total > n:
-        wanted = n + 8 * math.sqrt(n) + 64
-        if wanted < total:
-            cut = format(math.ceil(wanted / total * 16**8), "08x")
-            near = negatives.filter(F.substring("_h", 1, 8) < cut)
-            if near.count() >= n:
-                negatives = near
-        negatives = negatives.orderBy("_h", key).limit(n)
+    counts = negatives.groupBy(F.substring("_h", 1, 3).alias("p")).agg(F.count(F.lit(1)).alias("n"))
+    found = 0
+    for prefix, size in sorted((r.p or "", r.n) for r in counts.collect()):
+        found += size
+        if found >= n:
+            near = negatives.filter(F.substring("_h", 1, 3) <= prefix)
+            return positives.unionByName(near.orderBy("_h", key).limit(n).drop("_h"))
     return positives.unionByName(negatives.drop("_h"))

@@ -58,6 +58,7 @@ ENVELOPE = _schema(
     "key string, value string, topic string, partition int, offset bigint, "
     "kafka_timestamp timestamp"
 )
+MESSAGE = _schema("key string, value string")
 GOLD_COLUMNS = [
     "transaction_id",
     "card_id",

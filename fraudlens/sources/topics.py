@@ -50,6 +50,15 @@ def read_topic(
     return records.filter(F.col("_metadata.file_modification_time") > since)
 
 
+def read_topic_now(
+    spark: SparkSession, fmt: str = "parquet", path: str | None = None, servers: str | None = None
+) -> DataFrame:
+    """Everything a topic holds at the moment, as a table; ``path`` is its name or folder."""
+    if fmt == "kafka":
+        return spark.read.format(fmt).option("kafka.bootstrap.servers", servers).option("subscribe", path).load()
+    return spark.read.format(fmt).schema(TOPIC_RECORD).load(path)
+
+
 def _first_start(spark: SparkSession, checkpoint: str) -> int:
     """Milliseconds of the clock when a stream was first started."""
     path = f"{checkpoint.rstrip('/')}-started"

@@ -178,6 +178,22 @@ def publish_run(
     return stream.trigger(**_trigger(every)).start()
 
 
+def card_publisher(
+    run_id: int, send: Callable[[DataFrame, int], None], beats: str, threshold: float = DEFAULT_THRESHOLD
+) -> Callable[[DataFrame, int], None]:
+    """What a card run does with a micro-batch: its counters go below ``beats``, its alerts are sent."""
+
+    def save(batch: DataFrame, epoch: int) -> None:
+        batch = batch.persist()
+        try:
+            _save_beat(batch, epoch, run_id, beats, threshold)
+            send(to_messages(card_alerts(batch, threshold), "card_id"), epoch)
+        finally:
+            batch.unpersist()
+
+    return save
+
+
 def publish_cards(
     scored: DataFrame,
     run_id: int,
@@ -188,17 +204,8 @@ def publish_cards(
     every: str | None = "2 seconds",
 ) -> StreamingQuery:
     """Send the alerts of a card run as messages and keep its running counters below ``beats``."""
-
-    def save(batch: DataFrame, epoch: int) -> None:
-        batch = batch.persist()
-        try:
-            _save_beat(batch, epoch, run_id, beats, threshold)
-            send(to_messages(card_alerts(batch, threshold), "card_id"), epoch)
-        finally:
-            batch.unpersist()
-
-    stream = scored.writeStream.foreachBatch(save).option("checkpointLocation", checkpoint)
-    return stream.trigger(**_trigger(every)).start()
+    stream = scored.writeStream.foreachBatch(card_publisher(run_id, send, beats, threshold))
+    return stream.option("checkpointLocation", checkpoint).trigger(**_trigger(every)).start()
 
 
 def send_to_folder(path: str, run_id: int) -> Callable[[DataFrame, int], None]:

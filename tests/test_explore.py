@@ -90,6 +90,22 @@ def test_sample_keeps_all_frauds_and_n_normals(sample):
     assert {r.row_id for r in found} != {r.row_id for r in other}
 
 
+def test_sample_by_fraction(sample):
+    df, rows = sample
+    frauds = sum(r[1] for r in rows)
+    found = explore.stratified_sample(df, "row_id", 0, fraction=0.5).collect()
+    normals = len(rows) - frauds
+    assert sum(r.is_fraud for r in found) == frauds
+    assert abs(len(found) - frauds - normals / 2) < 5 * normals**0.5
+
+
+def test_sample_of_any_size_is_exact(sample):
+    df, rows = sample
+    normals = sum(1 - r[1] for r in rows)
+    for n in (0, 1, normals - 1, normals):
+        assert explore.stratified_sample(df, "row_id", n).filter("is_fraud = 0").count() == n
+
+
 def test_sample_larger_than_the_normals_takes_all(sample):
     df, rows = sample
     assert explore.stratified_sample(df, "row_id", 10**6).count() == len(rows)
