@@ -14,7 +14,7 @@ from fraudlens.operators import silver
 from fraudlens.plans.dashboards import run_stats
 from fraudlens.plans.layers import rounded
 from fraudlens.plans.registry import query
-from fraudlens.schemas import ENVELOPE, RUN_MESSAGE, TOPIC_RECORD, WIDE_TX
+from fraudlens.schemas import CARD_TX, ENVELOPE, RUN_MESSAGE, TOPIC_RECORD, WIDE_TX
 from fraudlens.session import new_path
 from fraudlens.sources import topics, views
 from fraudlens.streaming import intake, layers, monitor, split, state, view
@@ -86,6 +86,21 @@ def stream_bronze(spark, sf):
     return bronze.select("key", *told, "topic", "partition", "offset", "kafka_timestamp")
 
 
+@query(
+    "stream_latest",
+    "SELECT transaction_id, amount FROM tx_raw WHERE coalesce(event_time >= TIMESTAMP '2024-01-08', true)",
+    views=("tx_raw",),
+)
+def stream_latest(spark, sf):
+    """A consumer that starts at the newest messages: what the topic held before its first start is not read."""
+    records = views.card_topic(spark, sf, offsets=False)
+    source, path, checkpoint = (new_path(spark, n) for n in ("topic", "latest", "checkpoint"))
+    for _ in in_steps(by_week(records, "timestamp"), source):
+        stream = topics.read_topic(spark, path=source, starting="latest", schema=TOPIC_RECORD, checkpoint=checkpoint)
+        topics.drain(topics.append_stream(silver.decode(silver.envelope(stream), CARD_TX), path, checkpoint))
+    return spark.read.schema(CARD_TX).parquet(path).select("transaction_id", "amount")
+
+
 @query("stream_silver", "SELECT * FROM silver", views=("silver",))
 def stream_silver(spark, sf):
     """Topic to bronze to silver, both as streams."""

@@ -1,7 +1,8 @@
 """Queries that train, score and log models.
 
-What a model predicts no SQL can tell, so these queries return what must hold of any right run: which
-rows were scored, which were published, how totals agree, and how many scores differ between two ways.
+What a model predicts no SQL can tell. So each result comes twice: one query returns what must hold of any right run,
+for SQL to check (which rows were scored, how totals agree, how many scores differ between two ways), and one the
+metrics, importances and costs themselves, which a test holds against a brute-force evaluation.
 """
 
 from __future__ import annotations
@@ -45,6 +46,18 @@ def _card_model(spark, sf):
     return runs.load_model(_fitted(spark, sf, "card", fit))
 
 
+def card_test(spark, sf):
+    """The last fifth of the card rows with the scores of a model fitted on the others."""
+    test = _card_split(spark, sf).filter("split = 'test'")
+    return stage(models.score(test, _card_model(spark, sf)), "scored")
+
+
+def wide_test(spark, sf):
+    """The same for wide rows."""
+    test = _wide_split(spark, sf).filter("split = 'test'")
+    return stage(models.score(test, _wide_model(spark, sf)), "scored")
+
+
 def _wide_split(spark, sf):
     wide = stage(views.wide_tx(spark, sf), "wide")
     return ordering.chronological_split(wide, ["row_id"], TRAIN_TEST)
@@ -81,6 +94,16 @@ def _logged_run(spark, scored, experiment: str, params: dict):
     )
 
 
+def _metrics(spark, scored, experiment: str, params: dict):
+    """What was found, beside what the run log holds of it."""
+    path = new_path(spark, "runs")
+    found = models.evaluate_and_log(scored, path, experiment, params)
+    names = ("precision", "recall", "f1", "pr_auc")
+    run = runs.latest_run(spark, path, experiment)
+    run = run.select("experiment", *[F.col("metrics")[m].alias(m) for m in names])
+    return run.join(found.drop(*names), F.lit(True))  # one row each
+
+
 @query(
     "train_card",
     """SELECT 'fraud-detection' AS experiment, '200' AS trees, count(*) AS test_rows,
@@ -90,9 +113,13 @@ def _logged_run(spark, scored, experiment: str, params: dict):
 )
 def train_card(spark, sf):
     """Train on the past, save, load, evaluate on the future, log the run."""
-    test = _card_split(spark, sf).filter("split = 'test'")
-    scored = models.score(test, _card_model(spark, sf))
-    return _logged_run(spark, stage(scored, "scored"), "fraud-detection", models.CARD_PARAMS)
+    return _logged_run(spark, card_test(spark, sf), "fraud-detection", models.CARD_PARAMS)
+
+
+@query("train_card_metrics")
+def train_card_metrics(spark, sf):
+    """Confusion cells, precision, recall, F1 and area of the card model on the last fifth, as read from the run log."""
+    return _metrics(spark, card_test(spark, sf), "fraud-detection", models.CARD_PARAMS)
 
 
 _WIDE_TEST = "FROM wide WHERE row_id IN (SELECT row_id FROM wide_index WHERE place >= floor(total * 0.8e0))"
@@ -106,9 +133,12 @@ _WIDE_TEST = "FROM wide WHERE row_id IN (SELECT row_id FROM wide_index WHERE pla
     views=("wide_index",),
 )
 def train_wide(spark, sf):
-    test = _wide_split(spark, sf).filter("split = 'test'")
-    scored = models.score(test, _wide_model(spark, sf))
-    return _logged_run(spark, stage(scored, "scored"), "fraud-detection-real", models.WIDE_PARAMS)
+    return _logged_run(spark, wide_test(spark, sf), "fraud-detection-real", models.WIDE_PARAMS)
+
+
+@query("train_wide_metrics")
+def train_wide_metrics(spark, sf):
+    return _metrics(spark, wide_test(spark, sf), "fraud-detection-real", models.WIDE_PARAMS)
 
 
 @query(
@@ -125,6 +155,29 @@ def feature_importance(spark, sf):
     )
 
 
+@query("feature_importance_values")
+def feature_importance_values(spark, sf):
+    """The importance of every input of the wide model."""
+    return models.feature_importance(spark, _wide_model(spark, sf)).withColumn("importance", F.round("importance", 6))
+
+
+def _costs(spark, sf):
+    """Costs of the three strategies, worked out once per application and table folder."""
+    key = (spark.sparkContext.applicationId, sf, "costs")
+    if key not in _FITTED:
+        path = new_path(spark, "costs")
+        wide = stage(views.wide_tx(spark, sf), "wide")
+        models.cost_threshold_run(wide, ["row_id"], fit=models.train_wide).write.parquet(path)
+        _FITTED[key] = path
+    return spark.read.parquet(_FITTED[key])
+
+
+@query("cost_threshold_costs")
+def cost_threshold_costs(spark, sf):
+    """Threshold, cost, saving, precision, recall and alerts of each strategy on the last fifth."""
+    return _costs(spark, sf)
+
+
 @query(
     "cost_threshold_run",
     f"""SELECT strategy, CASE strategy WHEN 'no model' THEN base END AS cost,
@@ -136,8 +189,7 @@ def feature_importance(spark, sf):
 )
 def cost_threshold_run(spark, sf):
     """Cost without a model, and how cost and saving of the others agree with it."""
-    wide = stage(views.wide_tx(spark, sf), "wide")
-    found = stage(models.cost_threshold_run(wide, ["row_id"], fit=models.train_wide), "costs")
+    found = _costs(spark, sf)
     none = F.col("strategy") == "no model"
     base = found.filter(none).agg(F.max("cost")).scalar()
     saving = 100 * (1 - F.col("cost") / base)

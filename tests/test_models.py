@@ -3,6 +3,7 @@ from pyspark.ml.classification import LogisticRegression
 from pyspark.sql import functions as F
 
 from fraudlens.operators import features, models
+from fraudlens.plans import catalog, training
 from fraudlens.plans.layers import TRAIN_TEST, TX_KEYS
 from fraudlens.operators.ordering import chronological_split
 from fraudlens.session import new_path, stage
@@ -126,3 +127,58 @@ def test_wide_scoring_is_stateless(spark, sf_dir):
     rows = spark.read.parquet(out)
     assert rows.count() == records.count()
     assert {r.run_id for r in rows.select("run_id").distinct().collect()} == {3}
+
+
+def plain_metrics(rows, threshold=0.5):
+    """Cells, ratios and step-wise area, row by row."""
+    cells = {"tp": 0, "fp": 0, "fn": 0, "tn": 0}
+    for y, p in rows:
+        cells[("tp" if y else "fp") if p >= threshold else ("fn" if y else "tn")] += 1
+    tp, fp, fn = cells["tp"], cells["fp"], cells["fn"]
+    precision, recall = tp / (tp + fp) if tp + fp else 0.0, tp / (tp + fn) if tp + fn else 0.0
+    f1 = 2 * precision * recall / (precision + recall) if precision + recall else 0.0
+    positives, area = tp + fn, 0.0
+    for score in {p for _, p in rows}:
+        flagged = [y for y, p in rows if p >= score]
+        gained = sum(y for y, p in rows if p == score)
+        area += gained / positives * sum(flagged) / len(flagged) if positives else 0.0
+    return cells, precision, recall, f1, area
+
+
+@pytest.mark.parametrize("kind", ["card", "wide"])
+def test_metrics_queries_against_plain_evaluation(spark, sf_dir, kind):
+    scored = getattr(training, f"{kind}_test")(spark, sf_dir).select("is_fraud", "score").collect()
+    cells, precision, recall, f1, area = plain_metrics([(r.is_fraud, r.score) for r in scored])
+    (row,) = catalog.QUERIES[f"train_{kind}_metrics"](spark, sf_dir).collect()
+    assert {c: row[c] for c in cells} == cells and sum(cells.values()) == len(scored)
+    assert (row.precision, row.recall, row.f1) == pytest.approx((precision, recall, f1), abs=2e-6)
+    assert row.pr_auc == pytest.approx(area, abs=2e-6)
+
+
+def test_importance_query(spark, sf_dir):
+    rows = catalog.QUERIES["feature_importance_values"](spark, sf_dir).collect()
+    assert sum(r.importance for r in rows) == pytest.approx(1.0, abs=1e-4) and len(rows) == 29
+    assert len({r.importance for r in rows}) > 5 and all(r.importance >= 0 for r in rows)
+
+
+def test_costs_query_against_plain_costs(spark, sf_dir):
+    """The costs of the strategies, from the model that the query has fitted anew on the same rows."""
+    found = {r.strategy: r for r in catalog.QUERIES["cost_threshold_costs"](spark, sf_dir).collect()}
+    wide = stage(views.wide_tx(spark, sf_dir), "wide")
+    split = chronological_split(wide, ["row_id"], [(0.6, "train"), (0.8, "validation"), (1.0, "test")])
+    model = models.train_wide(split.filter("split = 'train'").drop("split"))
+    rows = models.score(split, model).select("split", "is_fraud", "Amount", "score").collect()
+
+    def cost(part, t):
+        alerts = sum(r.score >= t for r in part)
+        return 5.0 * alerts + sum(r.Amount for r in part if r.is_fraud and r.score < t), alerts
+
+    validation, test = ([r for r in rows if r.split == s] for s in ("validation", "test"))
+    best = min((round(cost(validation, round(i * 0.02, 2))[0], 2), round(i * 0.02, 2)) for i in range(1, 50))[1]
+    base = sum(r.Amount for r in test if r.is_fraud)
+    assert found["no model"].cost == pytest.approx(base, abs=0.01)
+    for name, t in (("default threshold", 0.5), ("validation threshold", best)):
+        money, alerts = cost(test, t)
+        row = found[name]
+        assert (row.threshold, row.alerts) == (t, alerts) and row.cost == pytest.approx(money, abs=0.01)
+        assert row.saving_pct == pytest.approx(100 * (1 - money / base), abs=1e-3)
