@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
+from datetime import datetime
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -9,7 +12,7 @@ from fraudlens.operators import features, ordering, quality, silver
 from fraudlens.plans.registry import query
 from fraudlens.schemas import CARD_TX, WIDE_FEATURES, WIDE_TX
 from fraudlens.session import new_path
-from fraudlens.sources import replay, tables, views
+from fraudlens.sources import layout, replay, tables, views
 
 TX_KEYS = ["event_time", "transaction_id"]
 
@@ -34,6 +37,34 @@ def gold_features(spark, sf):
     return rounded(features.card_features(views.card_tx(spark, sf)), "amount_ratio")
 
 
+@query(
+    "gold_by_card",
+    "SELECT * REPLACE (round(amount_ratio, 6) AS amount_ratio) FROM gold",
+    views=("gold",),
+)
+def gold_by_card(spark, sf):
+    """The same features from a table bucketed by card, which are windowed without a shuffle."""
+    name = f"tx_by_card_{uuid.uuid4().hex}"
+    layout.save_by_card(views.card_tx(spark, sf), name, new_path(spark, "by-card"), buckets=8)
+    return rounded(features.card_features(layout.read_by_card(spark, name)), "amount_ratio")
+
+
+@query(
+    "period_kpis",
+    """SELECT count(*) AS alerts, count(*) FILTER (is_fraud = 1) AS frauds, round(avg(latency_ms), 6) AS mean_latency_ms
+    FROM alerts WHERE event_time >= TIMESTAMP '2024-01-10 06:00:00' AND event_time < TIMESTAMP '2024-01-12'""",
+    views=("alerts",),
+)
+def period_kpis(spark, sf):
+    """Figures of two days of alerts, from a table of which only those days are opened."""
+    name = f"alerts_by_day_{uuid.uuid4().hex}"
+    layout.save_by_card(views.alerts(spark, sf), name, new_path(spark, "by-day"), buckets=8)
+    rows = layout.read_period(spark, name, datetime(2024, 1, 10, 6), datetime(2024, 1, 12))
+    frauds = F.count_if(F.col("is_fraud") == 1)
+    mean = F.round(F.avg("latency_ms"), 6)
+    return rows.agg(F.count(F.lit(1)).alias("alerts"), frauds.alias("frauds"), mean.alias("mean_latency_ms"))
+
+
 @query(
     "gold_profile",
     """SELECT is_fraud, count(*) AS n, round(avg(amount_ratio), 2) AS avg_amount_ratio,
