@@ -248,43 +248,107 @@ def _sorted_states(fetched: DataFrame, length: int, block: int) -> DataFrame:
     return fetched.mapInArrow(run, "anchor long, content binary, state binary")
 
 
-def _hashed_states(fetched: DataFrame, length: int) -> DataFrame:
-    """The same for anchors of very many regions: a row per string with its 128-bit hash, counted by Spark."""
+def _anchor_places(data: np.ndarray, length: int) -> np.ndarray:
+    """Where the anchor of each string of a region begins."""
+    grams = _hashes(data, GRAM)
+    low = np.uint64((1 << 21) - 1)
+    keys = (grams & ~low) | np.arange(len(grams), dtype=np.uint64)
+    return (_lowest(keys, length - GRAM + 1) & low).astype(np.int64)[: len(data) - length + 1]
+
+
+def cut_region(data: bytes, length: int, segments: int) -> Iterator[tuple[int, int, int]]:
+    """(key, first string, number of strings) of the parts of a region.
+
+    A string's anchor begins 0 to length - GRAM bytes behind it. These distances are cut into ``segments``, and strings
+    with the same anchor place and segment are a part. All strings of a segment hold the same bytes around their
+    anchor, save for the few by which they are shifted: the key is the hash of those bytes, so equal strings are in parts
+    of one key, and parts that share an anchor but little else are told apart. With a segment for every distance a
+    key is that of one whole string.
+    """
+    places = _anchor_places(np.frombuffer(data, np.uint8), length)
+    distances = length - GRAM + 1
+    segment = (places - np.arange(len(places))) * segments // distances
+    new = np.concatenate(([True], (segment[1:] != segment[:-1]) | (places[1:] != places[:-1])))
+    first = np.flatnonzero(new)
+    for i, n in zip(first.tolist(), np.diff(np.append(first, len(places))).tolist()):
+        k, at = int(segment[i]), int(places[i])
+        nearest, farthest = -(-k * distances // segments), -(-(k + 1) * distances // segments) - 1
+        around = data[at - nearest : at - farthest + length]
+        yield xxhash.xxh3_64_intdigest(around, k) - (1 << 63), i, n
+
+
+_PART = "key long, part binary, anchor long, content binary, i int, doc_id long, _text_key long, first long, bytes binary"
+
+
+def _cut(regions_: DataFrame, length: int, segments: int) -> DataFrame:
+    """The parts of regions (anchor, content, i, doc_id, _text_key, first, bytes), ``i`` the first string's number."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = [x.split()[0] for x in _PART.split(", ")]
+        kinds = (pa.int64(), pa.binary(), pa.int64(), pa.binary(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
         for batch in batches:
-            for anchor, content, doc_id, key, first, data in zip(*(c.to_pylist() for c in batch.columns)):
-                n = len(data) - length + 1
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([anchor] * n, pa.int64()),
-                        pa.array([content] * n, pa.binary()),
-                        pa.array([xxhash.xxh3_128_digest(data[i : i + length]) for i in range(n)], pa.binary()),
-                        pa.array([doc_id] * n, pa.int64()),
-                        pa.array([key] * n, pa.int64()),
-                        pa.array(np.arange(first, first + n)),
-                        pa.array(np.arange(n, dtype=np.int32)),
-                    ],
-                    ["anchor", "content", "hash", "doc_id", "_text_key", "at", "i"],
-                )
-
-    schema = "anchor long, content binary, hash binary, doc_id long, _text_key long, at long, i int"
-    rows = fetched.dropDuplicates(["anchor", "content"]).mapInArrow(run, schema)
-    place = F.struct(F.col("doc_id").isNotNull(), "doc_id", "_text_key", "at")
-    rows = stage(rows.select("anchor", "content", "hash", place.alias("place"), "i"), "hot-strings")
-    equal = rows.groupBy("anchor", "hash").agg(F.count(F.lit(1)).alias("n"), F.min("place").alias("first"))
-    found = rows.join(equal.filter("n > 1"), ["anchor", "hash"])
-    found = found.withColumn("s", F.when(F.col("place") == F.col("first"), 1).otherwise(2))
-    lists = found.groupBy("anchor", "content").agg(F.collect_list(F.struct("i", "s")).alias("_all"))
+            for start in range(0, batch.num_rows, 512):
+                out: list[list] = [[] for _ in names]
+                for anchor, content, i, doc_id, text_key, first, data in zip(*(c.to_pylist() for c in batch.slice(start, 512).columns)):
+                    for key, at, n in cut_region(data, length, segments):
+                        part = data[at : at + n + length - 1]
+                        row = (key, xxhash.xxh3_128_digest(part), anchor, content, i + at, doc_id, text_key, first + at, part)
+                        for column, value in zip(out, row):
+                            column.append(value)
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)], names)
+
+    columns = ("anchor", "content", "i", "doc_id", "_text_key", "first", "bytes")
+    return regions_.select(*columns).mapInArrow(run, _PART)
+
+
+def _split_states(fetched: DataFrame, length: int, most: int, block: int) -> DataFrame:
+    """(anchor, content, state) for anchors of very many regions: they are split by the bytes around the anchor.
+
+    Regions are cut into parts whose strings share nearly all of their bytes; the parts of a key are put in suffix order
+    like the regions of an ordinary anchor. A key that more than ``most`` different parts still share is cut finer,
+    at last into single strings, where a key is one string and has one part. So no group is larger than ``most``.
+    """
+    left = fetched.dropDuplicates(["anchor", "content"]).withColumn("i", F.lit(0))
+    found = None
+    for segments in (8, 64, length - GRAM + 1):
+        parts = stage(_cut(left, length, segments), "parts")
+        place = F.struct(F.col("doc_id").isNotNull().alias("known"), "doc_id", "_text_key", "first")
+        classes = parts.groupBy(F.col("key").alias("anchor"), F.col("part").alias("content")).agg(
+            F.count(F.lit(1)).alias("n"), F.min(place).alias("rep"), F.first("bytes").alias("bytes")
+        )
+        classes = stage(classes, "part-classes")
+        sizes = classes.groupBy("anchor").agg(F.count(F.lit(1)).alias("_classes"))
+        many = stage(sizes.filter(F.col("_classes") > most).select("anchor"), "hot-keys")
+        several = classes.join(sizes.filter((F.col("_classes") > 1) & (F.col("_classes") <= most)), "anchor")
+        columns = ["anchor", "content", "rep.doc_id", "rep._text_key", "rep.first", "bytes"]
+        order = ["anchor", F.col("doc_id").asc_nulls_first(), "_text_key", "first", "content"]
+        tasks = 1 + classes.count() // _TASK_REGIONS
+        ready = several.select(*columns).repartition(tasks, "anchor").sortWithinPartitions(*order)
+        verdict = classes.join(many, "anchor", "left_anti").join(_sorted_states(ready, length, block), ["anchor", "content"], "left")
+        verdict = verdict.filter("n > 1 OR state IS NOT NULL").select(
+            F.col("anchor").alias("key"), F.col("content").alias("part"), "n", "rep", "state"
+        )
+        verdict = stage(verdict, "part-verdicts")
+        hits = parts.withColumn("place", place).join(verdict, ["key", "part"])
+        # a later copy of a part: an earlier equal exists for all its strings; the first copy: a later one does
+        later = F.when(F.col("place") == F.col("rep"), F.when(F.col("n") > 1, 1).otherwise(0)).otherwise(2)
+        strings = F.length("bytes") - (length - 1)
+        hits = hits.select("anchor", "content", F.struct("i", strings.alias("n"), later.alias("least"), "state").alias("e"))
+        found = hits if found is None else found.unionByName(hits)
+        if many.isEmpty():
+            break
+        left = parts.join(many.withColumnRenamed("anchor", "key"), "key").drop("key", "part")
+    lists = found.groupBy("anchor", "content").agg(F.collect_list("e").alias("_all"))
 
     def pack(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             states = []
             for entries in batch.column(2).to_pylist():
-                state = bytearray(max(e["i"] for e in entries) + 1)
+                state = np.zeros(max(e["i"] + e["n"] for e in entries), np.uint8)
                 for e in entries:
-                    state[e["i"]] = e["s"]
-                states.append(bytes(state))
+                    own = np.frombuffer(e["state"], np.uint8) if e["state"] is not None else 0
+                    state[e["i"] : e["i"] + e["n"]] = np.maximum(own, e["least"])
+                states.append(state.tobytes())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(states, pa.binary())], ["anchor", "content", "state"]
             )
@@ -331,7 +395,7 @@ def repeated_spans(
     states = _sorted_states(usual, length, block)
     hot = fetched.filter(F.col("_classes") > most).select(*columns)
     if not hot.isEmpty():
-        states = states.unionByName(_hashed_states(hot, length))
+        states = states.unionByName(_split_states(hot, length, most, block))
     verdict = classes.join(states, ["anchor", "content"], "left").filter("n > 1 OR state IS NOT NULL")
     # staged, so that a class of very many occurrences meets it in a join of its own, which is split at run time
     verdict = stage(verdict.select("anchor", "content", "n", "rep", "state"), "verdicts")
@@ -388,7 +452,7 @@ def remove_repeats(
     Texts are UTF-8 bytes; removed is each byte covered by a string of ``length`` bytes that starts anywhere
     else too, in any row; with ``keep_first``, by one that also starts earlier (smaller doc_id, then smaller place).
     Anchors shared by more than ``most`` different regions (a very common passage with different surroundings)
-    are compared by counting string hashes instead of in one task.
+    are split by the bytes around the anchor until no group is larger.
 
     Defined cases: a null text is empty; texts under ``length`` bytes stay; null doc_ids come first in order;
     rows equal in doc_id and text are copies of each other, of which ``keep_first`` takes none away; different

@@ -80,3 +80,40 @@ def test_regions_of_long_texts(monkeypatch):
         assert first == at and n > 0
         at += n
     assert at == len(data) - 399
+
+
+def test_parts_of_regions():
+    """Every string of a region is in one part; equal strings have one key, whatever surrounds them."""
+    rng = random.Random(5)
+    shared = rng.randbytes(500)
+    for segments in (1, 8, 64, 400 - suffix_dedup.GRAM + 1):
+        keys = {}
+        for side in range(4):
+            data = rng.randbytes(300) + shared + rng.randbytes(300 + side) if side < 3 else b"ab" * 450
+            for _, first, n, _ in suffix_dedup.regions(data):
+                region, at = data[first : first + n + 399], 0
+                for key, i, strings in suffix_dedup.cut_region(region, 400, segments):
+                    assert i == at and strings > 0
+                    at += strings
+                    for j in range(i, i + strings):
+                        keys.setdefault(region[j : j + 400], set()).add(key)
+                assert at == n
+        assert all(len(k) == 1 for k in keys.values())
+        if segments == 337:
+            assert len({k for (k,) in keys.values()}) == len(keys)
+
+
+@pytest.mark.parametrize("most", [2, 40])
+def test_a_passage_in_very_many_surroundings(spark, most):
+    """One passage of 450 bytes in 120 documents, each with text of its own around it, some of them alike for a while."""
+    rng = random.Random(8)
+    shared = "".join(rng.choices("abcdefgh ", k=450))
+    ends = ["".join(rng.choices("xyz ", k=300)) for _ in range(6)]
+    texts = [f"{i} " + "".join(rng.choices("pqr ", k=rng.randint(0, 300))) + shared + rng.choice(ends)[: rng.randint(0, 300)] + f" {i}" for i in range(120)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    got = suffix_dedup.remove_repeats(df, with_bytes=False, most=most).collect()
+    assert sorted((tuple(r) for r in got), key=str) == expected(df.collect(), 400)
+    rows = sorted(df.collect(), key=order)
+    left = plain.removed([r.text for r in rows], 400, keep_first=True)
+    kept = {r.doc_id: bytes(r.kept) for r in suffix_dedup.remove_repeats(df, keep_first=True, most=most).collect()}
+    assert [kept[r.doc_id] for r in rows] == [k for k, _ in left]
