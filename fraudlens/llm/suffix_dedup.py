@@ -437,6 +437,15 @@ def _whole_characters(data: bytes, a: int, b: int) -> tuple[int, int]:
     return a, b
 
 
+def whole_words(data: bytes, a: int, b: int) -> int:
+    """Words of a span without those that it cuts."""
+
+    def cuts(at: int) -> bool:
+        return 0 < at < len(data) and not data[at - 1 : at].isspace() and not data[at : at + 1].isspace()
+
+    return max(0, len(data[a:b].split()) - cuts(a) - cuts(b))
+
+
 def remove_repeats(
     docs: DataFrame,
     length: int = 400,
@@ -494,7 +503,7 @@ def _with_spans(docs: DataFrame, more: tuple[str, ...], length: int, keep_first:
 def drop_later_copies(docs: DataFrame, length: int = 400, words: int = 0, **limits: int) -> DataFrame:
     """``docs`` with every later copy of a repeated passage cut out of ``text``, the first one kept.
 
-    Passages of fewer than ``words`` words stay, unless they have 400 bytes (texts without white space).
+    Passages of fewer than ``words`` whole words stay, unless they have 400 bytes (texts without white space).
     Cuts keep characters whole. ``n_chars``, where there is such a column, is counted again for texts that change;
     documents of which nothing is left are dropped. Columns and other cases as in ``remove_repeats``.
     """
@@ -508,7 +517,7 @@ def drop_later_copies(docs: DataFrame, length: int = 400, words: int = 0, **limi
             for text, entries in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 data, kept, at = (text or "").encode(), [], 0
                 for a, b in _spans(entries, length, 2):
-                    if b - a < 400 and len(data[a:b].split()) < words:
+                    if b - a < 400 and whole_words(data, a, b) < words:
                         continue
                     a, b = _whole_characters(data, a, b)
                     kept.append(data[at:a])

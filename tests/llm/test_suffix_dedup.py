@@ -117,3 +117,15 @@ def test_a_passage_in_very_many_surroundings(spark, most):
     left = plain.removed([r.text for r in rows], 400, keep_first=True)
     kept = {r.doc_id: bytes(r.kept) for r in suffix_dedup.remove_repeats(df, keep_first=True, most=most).collect()}
     assert [kept[r.doc_id] for r in rows] == [k for k, _ in left]
+
+
+def test_words_that_a_span_cuts_do_not_count(spark):
+    data = b"one two three  four\nfive"
+    assert [suffix_dedup.whole_words(data, a, b) for a, b in ((0, 24), (0, 2), (1, 7), (3, 8), (4, 13), (5, 13), (4, 12), (14, 24))] == [5, 0, 1, 1, 2, 1, 1, 2]
+    shared = plain.prose(3, 49)[:-1]  # 49 words and the ends of two more
+    texts = [f"{plain.prose(4, 30)} a{shared} b1 {plain.prose(5, 30)}", f"{plain.prose(6, 30)} xa{shared} b2 {plain.prose(7, 30)}"]
+    more = plain.prose(8, 51)
+    texts += [f"{plain.prose(9, 30)} {more} {plain.prose(10, 30)}", f"{plain.prose(11, 30)} {more} {plain.prose(12, 30)}"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    left = {r.doc_id: r.text for r in suffix_dedup.drop_later_copies(df, 200, words=51).collect()}
+    assert [left[i] == texts[i] for i in range(4)] == [True, True, True, False] and more not in left[3]
