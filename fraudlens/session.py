@@ -33,6 +33,11 @@ def build_session(app: str = "fraudlens", master: str | None = None, **conf: str
     return builder.getOrCreate()
 
 
+def use_rocksdb(spark: SparkSession) -> None:
+    """State variables and timers need this store; streams that have begun with another keep theirs."""
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors can reach: ``spark.checkpoint.dir`` of the session.
 

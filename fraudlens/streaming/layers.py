@@ -13,6 +13,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, St
 from fraudlens.functions.columns import ISO_MICROS
 from fraudlens.operators import silver
 from fraudlens.schemas import ENVELOPE
+from fraudlens.session import use_rocksdb
 from fraudlens.sources.topics import append_stream, read_table_stream
 
 
@@ -85,6 +86,7 @@ def dedupe_lowest(rows: DataFrame, key: str, time: str, hold_seconds: int, delay
     all copies at most that far apart, whatever the micro-batches. ``rows`` need ``partition`` and ``offset``.
     Copies of one micro-batch are one call for the key; only keys and not yet given out rows are in the state.
     """
+    use_rocksdb(rows.sparkSession)
     exact_time = {"timestampFormat": ISO_MICROS}
     whole = F.to_json(F.struct(*rows.columns), exact_time)
     thin = rows.withWatermark(time, delay).filter(F.col(key).isNotNull()).select(

@@ -12,7 +12,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, St
 from fraudlens.operators.alerts import card_alerts, to_messages, wide_alerts
 from fraudlens.operators.evaluate import confusion_aggregates
 from fraudlens.schemas import DEFAULT_THRESHOLD, RUN_BEAT
-from fraudlens.session import exists
+from fraudlens.session import exists, use_rocksdb
 from fraudlens.streaming import rollup
 
 
@@ -301,6 +301,7 @@ def filled_alert_windows(scored: DataFrame, flagged: Column, seconds: int = 30,
     ``scored`` are all rows, so their times move the watermark on when there is no alert; rows that are not ``flagged``
     are in no count. Counting is a partial aggregate; what is filled in is one row per interval.
     """
+    use_rocksdb(scored.sparkSession)
     interval = F.window("event_time", f"{seconds} seconds")
     # a condition on the time too is not pushed below the watermark, which would then see alerts only
     flagged = F.when(F.col("event_time").isNotNull(), flagged)

@@ -15,6 +15,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from fraudlens.functions.columns import ISO_MICROS
 from fraudlens.operators.alerts import with_alert_count
 from fraudlens.operators.evaluate import with_prf
+from fraudlens.session import use_rocksdb
 
 SHOWN = 15
 _STATS = ("processed", "tp", "fp", "fn", "tn", "lat_win")
@@ -77,6 +78,7 @@ def run_view_stream(messages: DataFrame, place: str = "row_id") -> DataFrame:
     anew, messages of older ones change nothing. Each task first keeps what can be shown of the messages
     it reads, so the one state gets at most 16 rows a batch of messages.
     """
+    use_rocksdb(messages.sparkSession)
     where = F.when(F.col("type") == "stats", F.col("processed")).otherwise(F.col(place))
     whole = F.to_json(F.struct(*messages.columns), {"timestampFormat": ISO_MICROS})
     numbers = [F.col(c).cast("bigint").alias(c) for c in _STATS[:-1]]
