@@ -140,19 +140,19 @@ def evaluate_and_log(
     return spark.createDataFrame([row], schema)
 
 
-def cost_threshold_run(
-    df: DataFrame,
-    keys: Sequence[str],
-    fit: Callable[[DataFrame], PipelineModel],
-    amount: str = "Amount",
-    alert_cost: float = DEFAULT_ALERT_COST,
-    step: float = 0.02,
+def cost_threshold_scores(
+    df: DataFrame, keys: Sequence[str], fit: Callable[[DataFrame], PipelineModel]
 ) -> DataFrame:
-    """Train on 60 %, choose the cheapest threshold on 20 %, report on the last 20 % (M3)."""
+    """All rows with their ``split`` (60 % train, 20 % validation, 20 % test) and the score of a model of the first."""
     cuts = [(0.6, "train"), (0.8, "validation"), (1.0, "test")]
     split = chronological_split(df, keys, cuts)
-    model = fit(split.filter("split = 'train'").drop("split"))
-    scored = score(split, model)
+    return score(split, fit(split.filter("split = 'train'").drop("split")))
+
+
+def cost_threshold_report(
+    scored: DataFrame, amount: str = "Amount", alert_cost: float = DEFAULT_ALERT_COST, step: float = 0.02
+) -> DataFrame:
+    """The cheapest threshold of the validation rows beside the default one and no model, on the test rows."""
     curve = evaluate.cost_curve(
         scored.filter("split = 'validation'"),
         evaluate.threshold_grid(step),
@@ -161,5 +161,16 @@ def cost_threshold_run(
     )
     best = evaluate.cheapest_threshold(curve).first().threshold
     strategies = {"no model": None, "default threshold": 0.5, "validation threshold": best}
-    test = scored.filter("split = 'test'")
-    return evaluate.strategy_costs(test, strategies, alert_cost, amount=amount)
+    return evaluate.strategy_costs(scored.filter("split = 'test'"), strategies, alert_cost, amount=amount)
+
+
+def cost_threshold_run(
+    df: DataFrame,
+    keys: Sequence[str],
+    fit: Callable[[DataFrame], PipelineModel],
+    amount: str = "Amount",
+    alert_cost: float = DEFAULT_ALERT_COST,
+    step: float = 0.02,
+) -> DataFrame:
+    """Train on 60 %, choose the cheapest threshold on 20 %, report on the last 20 % (M3)."""
+    return cost_threshold_report(cost_threshold_scores(df, keys, fit), amount, alert_cost, step)

@@ -161,13 +161,14 @@ def feature_importance_values(spark, sf):
     return models.feature_importance(spark, _wide_model(spark, sf)).withColumn("importance", F.round("importance", 6))
 
 
-def _costs(spark, sf):
-    """Costs of the three strategies, worked out once per application and table folder."""
-    key = (spark.sparkContext.applicationId, sf, "costs")
+def cost_scores(spark, sf):
+    """Scores of all wide rows by a model of the first 60 %, fitted once per application and table folder."""
+    key = (spark.sparkContext.applicationId, sf, "cost-scores")
     if key not in _FITTED:
-        path = new_path(spark, "costs")
+        path = new_path(spark, "cost-scores")
         wide = stage(views.wide_tx(spark, sf), "wide")
-        models.cost_threshold_run(wide, ["row_id"], fit=models.train_wide).write.parquet(path)
+        scored = models.cost_threshold_scores(wide, ["row_id"], models.train_wide)
+        scored.select("row_id", "split", "is_fraud", "Amount", "score").write.parquet(path)
         _FITTED[key] = path
     return spark.read.parquet(_FITTED[key])
 
@@ -175,7 +176,7 @@ def _costs(spark, sf):
 @query("cost_threshold_costs")
 def cost_threshold_costs(spark, sf):
     """Threshold, cost, saving, precision, recall and alerts of each strategy on the last fifth."""
-    return _costs(spark, sf)
+    return models.cost_threshold_report(cost_scores(spark, sf))
 
 
 @query(
@@ -189,7 +190,7 @@ def cost_threshold_costs(spark, sf):
 )
 def cost_threshold_run(spark, sf):
     """Cost without a model, and how cost and saving of the others agree with it."""
-    found = _costs(spark, sf)
+    found = stage(models.cost_threshold_report(cost_scores(spark, sf)), "costs")
     none = F.col("strategy") == "no model"
     base = found.filter(none).agg(F.max("cost")).scalar()
     saving = 100 * (1 - F.col("cost") / base)
