@@ -77,6 +77,16 @@ def drop_staged(spark: SparkSession) -> None:
     folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+def unstage(df: DataFrame) -> None:
+    """Delete a table that ``stage`` has returned; nothing must read it any more."""
+    spark = df.sparkSession
+    files = df.inputFiles()
+    folder = files[0].rsplit("/", 1)[0] if files else ""
+    if f"/fraudlens/{spark.sparkContext.applicationId}/" in folder:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as a table in the shared folder and read it back.
 

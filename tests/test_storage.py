@@ -142,3 +142,17 @@ def test_staged_tables_can_be_dropped(spark, monkeypatch, tmp_path):
     (root,) = (tmp_path / "fraudlens").iterdir()
     session.drop_staged(spark)
     assert not os.path.exists(root)
+
+
+def test_unstaged_tables_are_gone_and_others_stay(spark):
+    from fraudlens.session import exists, stage, unstage
+
+    kept, dropped = stage(spark.range(5), "kept"), stage(spark.range(6), "dropped")
+    folder = dropped.inputFiles()[0].rsplit("/", 1)[0]
+    unstage(dropped)
+    assert not exists(spark, folder) and kept.count() == 5
+    outside = new_path(spark, "x").replace("/fraudlens/", "/other/")
+    spark.range(3).write.parquet(outside)
+    table = spark.read.parquet(outside)
+    unstage(table)  # not a staged table
+    assert table.count() == 3
