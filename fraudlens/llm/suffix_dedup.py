@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fraudlens.llm.columns import hide, show
-from fraudlens.session import stage
+from fraudlens.session import stage, unstage
 
 GRAM = 64
 _CHUNK = 1 << 21  # bytes of text looked at in one go
@@ -399,6 +399,8 @@ def repeated_spans(
     verdict = classes.join(states, ["anchor", "content"], "left").filter("n > 1 OR state IS NOT NULL")
     # staged, so that a class of very many occurrences meets it in a join of its own, which is split at run time
     verdict = stage(verdict.select("anchor", "content", "n", "rep", "state"), "verdicts")
+    unstage(classes)  # their disk is wanted for the joins that follow
+    unstage(fetched)
     hits = found.join(verdict, ["anchor", "content"])
     if keep_first:
         is_rep = F.col("rep") == place
