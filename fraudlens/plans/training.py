@@ -38,9 +38,9 @@ def _card_split(spark, sf):
     return ordering.chronological_split(gold, TX_KEYS, TRAIN_TEST)
 
 
-def _card_model(spark, sf):
+def _card_model(spark, sf, split=None):
     def fit():
-        train = _card_split(spark, sf).filter("split = 'train'")
+        train = (split or _card_split(spark, sf)).filter("split = 'train'")
         return models.train_card(train, views.TEST_MERCHANTS)
 
     return runs.load_model(_fitted(spark, sf, "card", fit))
@@ -48,14 +48,14 @@ def _card_model(spark, sf):
 
 def card_test(spark, sf):
     """The last fifth of the card rows with the scores of a model fitted on the others."""
-    test = _card_split(spark, sf).filter("split = 'test'")
-    return stage(models.score(test, _card_model(spark, sf)), "scored")
+    split = _card_split(spark, sf)
+    return stage(models.score(split.filter("split = 'test'"), _card_model(spark, sf, split)), "scored")
 
 
 def wide_test(spark, sf):
     """The same for wide rows."""
-    test = _wide_split(spark, sf).filter("split = 'test'")
-    return stage(models.score(test, _wide_model(spark, sf)), "scored")
+    split = _wide_split(spark, sf)
+    return stage(models.score(split.filter("split = 'test'"), _wide_model(spark, sf, split)), "scored")
 
 
 def _wide_split(spark, sf):
@@ -63,9 +63,9 @@ def _wide_split(spark, sf):
     return ordering.chronological_split(wide, ["row_id"], TRAIN_TEST)
 
 
-def _wide_model(spark, sf):
+def _wide_model(spark, sf, split=None):
     def fit():
-        return models.train_wide(_wide_split(spark, sf).filter("split = 'train'"))
+        return models.train_wide((split or _wide_split(spark, sf)).filter("split = 'train'"))
 
     return runs.load_model(_fitted(spark, sf, "wide", fit))
 

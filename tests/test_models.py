@@ -1,5 +1,5 @@
 import pytest
-from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.sql import functions as F
 
 from fraudlens.operators import features, models
@@ -182,3 +182,58 @@ def test_costs_query_against_plain_costs(spark, sf_dir):
         row = found[name]
         assert (row.threshold, row.alerts) == (t, alerts) and row.cost == pytest.approx(money, abs=0.01)
         assert row.saving_pct == pytest.approx(100 * (1 - money / base), abs=1e-3)
+
+
+def card_rows(spark, n):
+    """Gold-like rows with many equal ones; the label follows the amount and the country."""
+    i = F.col("id")
+    return spark.range(n).select(
+        (F.pmod(i * 37, F.lit(300)) / 3.0).alias("amount"),
+        (F.pmod(i * 11, F.lit(40)) / 8.0).alias("amount_ratio"),
+        F.pmod(i, F.lit(3)).alias("tx_1h"),
+        F.pmod(i, F.lit(2)).cast("int").alias("is_foreign"),
+        F.when(i % 7 > 0, F.element_at(F.array(F.lit("view"), F.lit("click")), (i % 2 + 1).cast("int"))).alias("merchant_category"),
+        ((F.pmod(i * 37, F.lit(300)) > 200) & (i % 3 > 0)).cast("int").alias("is_fraud"),
+    )
+
+
+def test_cells_give_the_model_of_all_rows(spark):
+    rows = card_rows(spark, 1500)
+    params = models.CARD_PARAMS | {"maxIter": 5}
+    plain = GBTClassifier(featuresCol="features", labelCol="is_fraud", weightCol="weight", **params)
+    old = models.train_card(rows, views.TEST_MERCHANTS, estimator=plain)
+    new = models.train_card(rows, views.TEST_MERCHANTS, maxIter=5)
+    a, b = ([r.score for r in models.score(rows, m).collect()] for m in (old, new))
+    assert a == pytest.approx(b, abs=1e-9) and len({round(s, 6) for s in a}) > 5
+    assert models.feature_names(new) == models.feature_names(old)
+
+
+def test_rounds_see_cells_however_many_rows_there_are(spark, monkeypatch):
+    seen, fit = [], GBTClassifier.fit
+    monkeypatch.setattr(GBTClassifier, "fit", lambda self, df, params=None: (seen.append(df.count()), fit(self, df))[1])
+    rows = card_rows(spark, 600)
+    models.train_card(rows, views.TEST_MERCHANTS, maxIter=1)
+    many = rows.crossJoin(spark.range(5).select(F.col("id").alias("copy")))
+    models.train_card(many, views.TEST_MERCHANTS, maxIter=1)
+    assert seen[0] == seen[1] <= 600
+
+
+def test_cut_points():
+    assert models.cut_points([(3.0, 1.0), (1.0, 1.0), (3.0, 5.0)], 31) == [2.0]
+    assert models.cut_points([(7.0, 1.0)], 31) == []
+    assert models.cut_points([(float(i), 1.0) for i in range(100)], 3) == [24.5, 49.5, 74.5]
+    assert models.cut_points([(0.0, 97.0), (1.0, 1.0), (2.0, 1.0), (3.0, 1.0)], 1) == [0.5]
+
+
+def test_missing_numbers_are_refused_as_before(spark):
+    rows = card_rows(spark, 300).withColumn("amount", F.when(F.col("amount") == 0, F.lit(float("nan"))).otherwise(F.col("amount")))
+    with pytest.raises(Exception, match="NaN"):
+        models.train_card(rows, views.TEST_MERCHANTS, maxIter=1)
+
+
+def test_features_are_worked_out_once_for_training_and_test(spark, sf_dir, monkeypatch):
+    calls, card_features = [], features.card_features
+    monkeypatch.setattr(training, "_FITTED", {})
+    monkeypatch.setattr(training.features, "card_features", lambda df: (calls.append(1), card_features(df))[1])
+    monkeypatch.setattr(training.models, "train_card", lambda train, words, fit=models.train_card: fit(train, words, maxIter=1))
+    assert training.card_test(spark, sf_dir).count() == 200 and len(calls) == 1
