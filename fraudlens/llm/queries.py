@@ -49,8 +49,8 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op4_suffix_array_repeats")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What is left of every document without its 400-byte strings that also start elsewhere."""
-    return suffix_dedup.remove_repeats(_table(spark, sf_dir, "documents"), with_bytes=False, with_text=True)
+    """What is left of every document without its 400-byte strings that also start elsewhere, and its repeated passages of over 50 words."""
+    return suffix_dedup.remove_repeats(_table(spark, sf_dir, "documents"), with_bytes=False, with_text=True, words=51)
 
 
 _CHAT_SQL = r"""

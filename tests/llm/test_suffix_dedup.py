@@ -129,3 +129,50 @@ def test_words_that_a_span_cuts_do_not_count(spark):
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     left = {r.doc_id: r.text for r in suffix_dedup.drop_later_copies(df, 200, words=51).collect()}
     assert [left[i] == texts[i] for i in range(4)] == [True, True, True, False] and more not in left[3]
+
+
+@pytest.mark.parametrize("most", [5000, 40, 1])
+def test_one_pass_for_strings_and_passages(spark, most):
+    """The rows of 400-byte strings are what they are alone, the passages those of the operator for passages."""
+    df = patched(spark, 400, 12)
+    both = suffix_dedup.remove_repeats(df, with_bytes=False, words=20, most=most, block=20_000).collect()
+    assert sorted((tuple(r)[:5] for r in both), key=str) == expected(df.collect(), 400)
+    apart = {r.doc_id: r.text for r in suffix_dedup.drop_later_copies(df, 200, words=20, most=most).collect()}
+    assert {r.doc_id: r.text_once for r in both if r.text_once} == {i: x for i, x in apart.items() if x}
+    assert any(r.n_passages > r.n_spans for r in both)
+
+
+@pytest.mark.parametrize("length", [100, 200, 400])
+def test_suffix_order_of_small_and_large_data(length, monkeypatch):
+    """Three ranks a key or two: the order is that of the strings, then of their places."""
+    rng = random.Random(length)
+    data = "".join(rng.choice(["ab" * 60, "a" * 90, "xyz" * 50, "q"]) for _ in range(60)).encode()
+    array = suffix_dedup.np.frombuffer(data, suffix_dedup.np.uint8)
+    starts = suffix_dedup.np.array(sorted(rng.sample(range(len(data) - length + 1), 900)))
+    want = sorted(range(len(starts)), key=lambda i: (data[starts[i] : starts[i] + length], i))
+    begins = [i == 0 or data[starts[want[i]] :][:length] != data[starts[want[i - 1]] :][:length] for i in range(len(want))]
+    rank, size, most = suffix_dedup.prefix_ranks(array, 100)
+    order, got = suffix_dedup.suffix_order((rank, size, most), starts, length)
+    assert most == 3 and (order.tolist(), got.tolist()) == (want, begins)
+    more = suffix_dedup.np.concatenate((array, suffix_dedup.np.zeros(800_000, suffix_dedup.np.uint8)))
+    ranks = suffix_dedup.prefix_ranks(more, 100)
+    order, got = suffix_dedup.suffix_order(ranks, starts, length)
+    assert ranks[2] == 2 and (order.tolist(), got.tolist()) == (want, begins)
+
+
+def test_passages_of_over_50_words_under_400_bytes(spark, tmp_path):
+    """The query tells them, whatever 400-byte strings cover; the contract's columns stay as they are."""
+    from fraudlens.llm.queries import QUERIES
+
+    shared = [plain.prose(100 + i, 52 + i) for i in range(3)]
+    texts = [f"{plain.prose(2 * i, 40)} {p} {plain.prose(2 * i + 1, 40)}" for i, p in enumerate(shared * 2)]
+    texts += [plain.prose(50, 150), f"{plain.prose(51, 60)} {' '.join(shared[0].split()[:45])} {plain.prose(52, 60)}", None]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert all(200 <= len(p.encode()) < 395 for p in shared)
+    df.write.parquet(f"{tmp_path}/documents.parquet")
+    got = sorted(QUERIES["op4_suffix_array_repeats"](spark, str(tmp_path)).collect())
+    assert [tuple(r)[:5] for r in got] == expected(df.collect(), 400) and not any(r.n_removed for r in got)
+    assert [r.n_passages for r in got] == [1] * 6 + [0] * 3
+    assert [r.text_once == (x or "") for r, x in zip(got, texts)] == [True] * 3 + [False] * 3 + [True] * 3
+    for r, p in zip(got[3:6], shared):
+        assert p not in r.text_once and len(r.text_once) >= len(r.text) - len(p) - 30  # letters beside it may agree by chance
