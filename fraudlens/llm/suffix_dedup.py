@@ -425,10 +425,10 @@ def repeated_spans(
     """
     far = far or length
     found = stage(_find_regions(docs, length, far), "regions")
-    # most anchors occur once; what follows is for the others
+    # most anchors occur once; what follows is for the others, a small side that spares the sort of all
     again = found.groupBy("anchor").agg(F.count(F.lit(1)).alias("_times"), F.max("places").alias("_places"))
     again = again.filter("_times > 1 OR _places > 1").select("anchor")
-    every, found = found, stage(found.join(again, "anchor"), "regions-again")
+    every, found = found, stage(found.join(again.hint("shuffle_hash"), "anchor"), "regions-again")
     unstage(every)
     place = F.struct(F.col("doc_id").isNotNull().alias("known"), "doc_id", "_text_key", "first")
     classes = found.groupBy("anchor", "content").agg(
